@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.operators import quality
 from starmart.plans.warehouse import MART_NAMES, REPORT_NAMES, Reports, Warehouse
 from starmart.sources.tables import Tables
 from starmart.sources.testmap import TestMap
@@ -36,10 +37,27 @@ def _report(name: str) -> Query:
     return q
 
 
+QUALITY = {
+    "quality_not_null": quality.not_null_checks,
+    "quality_unique": quality.unique_checks,
+    "quality_relationships": quality.relationship_checks,
+    "quality_rules": quality.rule_checks,
+}
+
+
+def _quality(name: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return QUALITY[name](warehouse(spark, sf_dir).marts())
+    q.__name__ = name
+    return q
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for n in REPORT_NAMES:
         out[n] = _report(n)
     for n in MART_NAMES:
         out[n] = _mart(n)
+    for n in QUALITY:
+        out[n] = _quality(n)
     return out
