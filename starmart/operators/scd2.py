@@ -111,7 +111,8 @@ def scd2_backfill(changes: DataFrame, key: str, batch: Column | str,
                  .select(key, "_batch", *[F.col(f"_r.{c}").alias(c) for c in keep if c != key]))
     w = Window.partitionBy(key).orderBy("_batch")
     prior_max = F.max(F.col(updated_at)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    versions = per_batch.where(prior_max.isNull() | (F.col(updated_at) > prior_max))
+    versions = (per_batch.withColumn("_prior", prior_max)
+                .where(F.col("_prior").isNull() | (F.col(updated_at) > F.col("_prior"))))
     w2 = Window.partitionBy(key).orderBy("_batch")
     return versions.select(*cols,
                            scd_id(F.col(key), F.col(updated_at)).alias("scd_id"),

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators import quality
+from starmart.plans import changelog
 from starmart.plans.warehouse import MART_NAMES, REPORT_NAMES, Reports, Warehouse
 from starmart.sources.tables import Tables
 from starmart.sources.testmap import TestMap
@@ -52,6 +53,21 @@ def _quality(name: str) -> Query:
     return q
 
 
+CHANGELOG: dict[str, Query] = {
+    "upsert_latest": changelog.upsert_latest,
+    "high_water_marks": changelog.high_water_marks,
+    "incremental_overlap": changelog.incremental_overlap,
+    "scd2_history": changelog.scd2_history,
+    "scd2_incremental": changelog.scd2_incremental,
+    "scd2_current": changelog.scd2_current,
+    "landing_pages": changelog.landing_pages,
+    "stream_merge": changelog.stream_merge,
+    "stg_cast_orders": changelog.stg_cast("orders"),
+    "stg_cast_payments": changelog.stg_cast("payments"),
+    "stg_cast_customers": changelog.stg_cast("customers"),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for n in REPORT_NAMES:
@@ -60,4 +76,5 @@ def queries() -> dict[str, Query]:
         out[n] = _mart(n)
     for n in QUALITY:
         out[n] = _quality(n)
+    out.update(CHANGELOG)
     return out
