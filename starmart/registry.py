@@ -13,15 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart.operators import quality
 from starmart.plans import changelog
 from starmart.plans.warehouse import MART_NAMES, REPORT_NAMES, Reports, Warehouse
-from starmart.sources.tables import Tables
+from starmart.sources.tables import Tables, app_id
 from starmart.sources.testmap import TestMap
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    tm = TestMap(Tables(spark, sf_dir))
-    return Warehouse(tm.staged(), tm.calendar_bounds())
+    """The lazy mart graph over ``sf_dir``; built once per Spark application
+    (plan objects only — every query still runs from the Parquet files)."""
+    key = (app_id(spark), sf_dir.rstrip("/"))
+    w = _WAREHOUSES.get(key)
+    if w is None:
+        tm = TestMap(Tables(spark, sf_dir))
+        w = _WAREHOUSES[key] = Warehouse(tm.staged(), tm.calendar_bounds())
+    return w
 
 
 def _mart(name: str) -> Query:

@@ -15,6 +15,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Analysed scans, per Spark application and path. A DataFrame is an
+# immutable lazy plan, so queries of one application can share the scan
+# (file listing and footer schema are read once) — no data is cached.
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
+def app_id(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
+
+
 class Tables:
     """Attribute access to ``<sf_dir>/<name>.parquet`` as DataFrames."""
 
@@ -23,7 +33,12 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (app_id(self.spark), path)
+        df = _SCANS.get(key)
+        if df is None:
+            df = _SCANS[key] = self.spark.read.parquet(path)
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

@@ -72,6 +72,19 @@ def _map(col: Column, mapping: dict, default: Column | None = None) -> Column:
     return out.otherwise(default if default is not None else _null("string"))
 
 
+def _values_frame(spark, rows, names) -> DataFrame:
+    """A small fixed table as an inline VALUES relation (planned JVM-side,
+    no Python RDD)."""
+    def lit(v):
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        if isinstance(v, (int, float)):
+            return str(v)
+        return "'" + str(v).replace("'", "''") + "'"
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+
+
 def money(c) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast(MONEY)
 
@@ -159,9 +172,9 @@ class TestMap:
 
     def payment_methods(self) -> DataFrame:
         seen = self.t.events.select(self._method_id().alias("payment_method_id")).distinct()
-        names = self.spark.createDataFrame(
-            PAYMENT_METHODS, "payment_method_id bigint, payment_method_name string, "
-                             "provider string, is_digital boolean")
+        names = _values_frame(self.spark, PAYMENT_METHODS,
+                              ["payment_method_id", "payment_method_name", "provider", "is_digital"])
+        names = names.withColumn("payment_method_id", F.col("payment_method_id").cast("bigint"))
         return seen.join(F.broadcast(names), "payment_method_id", "left").select(
             "payment_method_id", "payment_method_name", "provider", "is_digital",
             _snapshot_ts().alias("created_at"), _snapshot_ts().alias("updated_at"))
@@ -272,15 +285,24 @@ class TestMap:
             F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("start_date"),
             F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("end_date"))
 
-    def staged(self) -> dict[str, DataFrame]:
-        return {
-            "customers": self.customers(),
-            "products": self.products(),
-            "stores": self.stores(),
-            "employees": self.employees(),
-            "orders": self.orders(),
-            "order_items": self.order_items(),
-            "payments": self.payments(),
-            "inventory_movements": self.inventory_movements(),
-            "payment_methods": self.payment_methods(),
-        }
+    def staged(self) -> "LazyStaged":
+        return LazyStaged(self)
+
+
+class LazyStaged(dict):
+    """Entity name → staged DataFrame, built on first access only, so a query
+    that needs two entities does not analyse the other seven."""
+
+    NAMES = ("customers", "products", "stores", "employees", "orders", "order_items", "payments",
+             "inventory_movements", "payment_methods")
+
+    def __init__(self, tm: TestMap):
+        super().__init__()
+        self._tm = tm
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        df = getattr(self._tm, name)()
+        self[name] = df
+        return df
