@@ -71,6 +71,9 @@ class VersionedTable:
         names = self._fs.list_names(self._fs.child("_commits"))
         return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json"))
 
+    def _written(self) -> list[int]:
+        return [int(n[2:]) for n in self._fs.list_names(self._fs.path) if n.startswith("v=")]
+
     def current_version(self) -> int | None:
         c = self._commits()
         return c[-1] if c else None
@@ -94,11 +97,20 @@ class VersionedTable:
         info = self.commit_info()
         return None if info is None else info.get("batch_id")
 
+    def exists(self, sub: str) -> bool:
+        return self._fs.exists(self._fs.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}"))
+
+    def committed(self) -> list[int]:
+        return self._commits()
+
     def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None,
-              commit: bool = True) -> int:
+              commit: bool = True, partition_by: list[str] | None = None) -> int:
         """Write ``df`` as the next version; commit unless told not to."""
-        v = (self.current_version() or 0) + 1
-        df.write.mode("overwrite").parquet(self.version_path(v))
+        v = max([self.current_version() or 0] + self._written()) + 1
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(self.version_path(v))
         if commit:
             self.commit(v, batch_id, extra)
         return v

@@ -24,21 +24,29 @@ class Warehouse:
     def __init__(self, staged: dict[str, DataFrame], calendar_bounds: DataFrame,
                  customer_history: DataFrame | None = None,
                  product_history: DataFrame | None = None,
-                 holidays=dims.HOLIDAYS):
+                 holidays=dims.HOLIDAYS, snapshots: dict[str, DataFrame] | None = None):
+        """``customer_history``/``product_history``: history before this run
+        (the snapshot runs here); ``snapshots``: histories already updated by
+        a snapshot store (used as they are)."""
         self.staged = staged
         self.bounds = calendar_bounds
         self._customer_history = customer_history
         self._product_history = product_history
         self.holidays = holidays
+        self._snapshots = snapshots or {}
 
     # snapshots ------------------------------------------------------------
     @cached_property
     def snap_customer(self) -> DataFrame:
+        if "customer" in self._snapshots:
+            return self._snapshots["customer"]
         return scd2_snapshot(self._customer_history, self.staged["customers"], "customer_id",
                              tracked=dims.CUSTOMER_TRACKED)
 
     @cached_property
     def snap_product(self) -> DataFrame:
+        if "product" in self._snapshots:
+            return self._snapshots["product"]
         return scd2_snapshot(self._product_history, self.staged["products"], "product_id",
                              tracked=dims.PRODUCT_TRACKED)
 
