@@ -142,3 +142,4 @@ class Reports:
 
 REPORT_NAMES = ("revenue_by_store", "revenue_by_category", "monthly_revenue", "customer_segments",
                 "top_products", "discount_bands", "payment_methods", "flagged_breakdown", "refunds")
+

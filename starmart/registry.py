@@ -48,6 +48,7 @@ def _report(name: str) -> Query:
 
 
 QUALITY = {
+    "quality_suite": quality.run_suite,
     "quality_not_null": quality.not_null_checks,
     "quality_unique": quality.unique_checks,
     "quality_relationships": quality.relationship_checks,
@@ -74,6 +75,12 @@ CHANGELOG: dict[str, Query] = {
     "stg_cast_orders": changelog.stg_cast("orders"),
     "stg_cast_payments": changelog.stg_cast("payments"),
     "stg_cast_customers": changelog.stg_cast("customers"),
+    "stg_cast_products": changelog.stg_cast("products"),
+    "stg_cast_stores": changelog.stg_cast("stores"),
+    "stg_cast_employees": changelog.stg_cast("employees"),
+    "stg_cast_payment_methods": changelog.stg_cast("payment_methods"),
+    "stg_cast_order_items": changelog.stg_cast("order_items"),
+    "stg_cast_inventory_movements": changelog.stg_cast("inventory_movements"),
 }
 
 
