@@ -106,13 +106,27 @@ def unique_checks(marts: dict[str, DataFrame], spec=None) -> DataFrame:
 
 
 def relationship_checks(marts: dict[str, DataFrame], spec=None) -> DataFrame:
-    frames = []
+    """One pass per child table: its foreign-key columns are unpivoted to
+    ``(column, value)`` pairs and anti-joined once against the parents' keys
+    tagged with the same column name, then counted per column. The child is
+    computed once, not once per foreign key."""
+    by_model: dict[str, list[Relationship]] = {}
     for r in spec or RELATIONSHIPS:
-        child = marts[r.model].select(F.col(r.column).alias("_k")).where(F.col("_k").isNotNull())
-        parent = marts[r.to_model].select(F.col(r.to_column).alias("_k"))
-        orphans = child.join(parent, "_k", "left_anti")
-        frames.append(orphans.agg(F.count(F.lit(1)).alias("n"))
-                      .select(F.inline(F.array(_row("relationships", r.model, r.column, F.col("n"))))))
+        by_model.setdefault(r.model, []).append(r)
+    frames = []
+    for model, rels in by_model.items():
+        pairs = (marts[model]
+                 .select(F.inline(F.array(*[F.struct(F.lit(r.column).alias("_c"),
+                                                      F.col(r.column).cast("string").alias("_v"))
+                                            for r in rels])))
+                 .where(F.col("_v").isNotNull()))
+        parents = _union([marts[r.to_model].select(F.lit(r.column).alias("_c"),
+                                                   F.col(r.to_column).cast("string").alias("_v"))
+                          for r in rels])
+        orphans = pairs.join(parents, ["_c", "_v"], "left_anti")
+        counts = orphans.agg(*[F.count_if(F.col("_c") == r.column).alias(r.column) for r in rels])
+        frames.append(counts.select(F.inline(F.array(
+            *[_row("relationships", model, r.column, F.col(r.column)) for r in rels]))))
     return _union(frames)
 
 
