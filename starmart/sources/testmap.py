@@ -85,6 +85,16 @@ def _values_frame(spark, rows, names) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
 
 
+def keyed(df: DataFrame, key: str, *cols: str) -> DataFrame:
+    """``df`` as a lookup with one row per ``key`` (the table's primary key).
+
+    The driver's key columns are unique, so this changes no value; stating it
+    as an aggregate lets Catalyst drop a left join to the lookup when a query
+    reads none of its columns.
+    """
+    return df.groupBy(key).agg(*[F.min(c).alias(c) for c in cols])
+
+
 def money(c) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast(MONEY)
 
@@ -143,7 +153,7 @@ class TestMap:
         )
 
     def stores(self) -> DataFrame:
-        n, r = self.t.nation, self.t.region
+        n, r = self.t.nation, keyed(self.t.region, "r_regionkey", "r_name")
         return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
             F.col("n_nationkey").alias("store_id"),
             F.col("n_name").alias("store_name"),
@@ -194,7 +204,7 @@ class TestMap:
         )
 
     def orders(self) -> DataFrame:
-        o, c = self.t.orders, self.t.customer.select("c_custkey", "c_nationkey")
+        o, c = self.t.orders, keyed(self.t.customer, "c_custkey", "c_nationkey")
         lines = self.order_lines()
         status = _map(F.col("o_orderstatus"), ORDER_STATUS)
         return (o.join(c, o.o_custkey == c.c_custkey, "left")
@@ -235,7 +245,7 @@ class TestMap:
         )
 
     def inventory_movements(self) -> DataFrame:
-        li, s = self.t.lineitem, self.t.supplier.select("s_suppkey", "s_nationkey")
+        li, s = self.t.lineitem, keyed(self.t.supplier, "s_suppkey", "s_nationkey")
         return li.join(s, li.l_suppkey == s.s_suppkey, "left").select(
             item_key().alias("movement_id"),
             F.col("l_partkey").alias("product_id"),
