@@ -169,3 +169,19 @@ def run_suite(marts: dict[str, DataFrame]) -> DataFrame:
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def payment_conservation(payments: DataFrame, fct_payments: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Every payment is clean, flagged, or — through SQL NULL logic (NULL
+    amount, or negative with a NULL type) — in neither. One aggregate over the
+    three tables tagged and stacked; ``conserved`` says the counts add up."""
+    amount, ptype = F.col("amount_paid"), F.col("payment_type")
+    stacked = (payments.select(F.lit("p").alias("_t"),
+                               (amount.isNull() | ((amount < 0) & ptype.isNull())).alias("_u"))
+               .unionByName(fct_payments.select(F.lit("c").alias("_t"), F.lit(False).alias("_u")))
+               .unionByName(flagged.select(F.lit("f").alias("_t"), F.lit(False).alias("_u"))))
+    t = F.col("_t")
+    counts = stacked.agg(F.count_if(t == "p").alias("total_payments"), F.count_if(t == "c").alias("clean"),
+                         F.count_if(t == "f").alias("flagged"), F.count_if(F.col("_u")).alias("unclassified"))
+    return counts.select("*", (F.col("total_payments") == F.col("clean") + F.col("flagged")
+                               + F.col("unclassified")).alias("conserved"))

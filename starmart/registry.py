@@ -84,6 +84,11 @@ CHANGELOG: dict[str, Query] = {
 }
 
 
+def payment_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = warehouse(spark, sf_dir)
+    return quality.payment_conservation(w.staged["payments"], w.fct_payments, w.flagged_payments)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for n in REPORT_NAMES:
@@ -92,5 +97,6 @@ def queries() -> dict[str, Query]:
         out[n] = _mart(n)
     for n in QUALITY:
         out[n] = _quality(n)
+    out["payment_conservation"] = payment_conservation
     out.update(CHANGELOG)
     return out
