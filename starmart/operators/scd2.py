@@ -53,12 +53,19 @@ def _open_rows(source: DataFrame, key: str, updated_at: str) -> DataFrame:
 
 
 def scd2_snapshot(history: DataFrame | None, source: DataFrame, key: str,
-                  updated_at: str = "updated_at", tracked: list[str] | None = None) -> DataFrame:
-    """One snapshot run. ``history`` may hold all rows or just the open ones."""
+                  updated_at: str = "updated_at", tracked: list[str] | None = None,
+                  source_unique: bool = False) -> DataFrame:
+    """One snapshot run. ``history`` may hold all rows or just the open ones.
+
+    The source must have one row per key; unless ``source_unique`` says it
+    does (a keyed raw table), it is reduced to the latest row per key first.
+    Skipping that step when it is known lets Catalyst read only the columns a
+    query uses from the source.
+    """
     cols = tracked or source.columns
     if key not in cols or updated_at not in cols:
         raise ValueError("tracked columns must include the key and updated_at")
-    src = latest_per_key(source.select(*cols), key, [updated_at])
+    src = source.select(*cols) if source_unique else latest_per_key(source.select(*cols), key, [updated_at])
     if history is None:
         return _open_rows(src, key, updated_at)
 

@@ -24,16 +24,19 @@ class Warehouse:
     def __init__(self, staged: dict[str, DataFrame], calendar_bounds: DataFrame,
                  customer_history: DataFrame | None = None,
                  product_history: DataFrame | None = None,
-                 holidays=dims.HOLIDAYS, snapshots: dict[str, DataFrame] | None = None):
+                 holidays=dims.HOLIDAYS, snapshots: dict[str, DataFrame] | None = None,
+                 keyed_sources: bool = True):
         """``customer_history``/``product_history``: history before this run
         (the snapshot runs here); ``snapshots``: histories already updated by
-        a snapshot store (used as they are)."""
+        a snapshot store (used as they are); ``keyed_sources``: the staged
+        entities come from keyed tables (one row per natural key)."""
         self.staged = staged
         self.bounds = calendar_bounds
         self._customer_history = customer_history
         self._product_history = product_history
         self.holidays = holidays
         self._snapshots = snapshots or {}
+        self.keyed_sources = keyed_sources
 
     # snapshots ------------------------------------------------------------
     @cached_property
@@ -41,14 +44,14 @@ class Warehouse:
         if "customer" in self._snapshots:
             return self._snapshots["customer"]
         return scd2_snapshot(self._customer_history, self.staged["customers"], "customer_id",
-                             tracked=dims.CUSTOMER_TRACKED)
+                             tracked=dims.CUSTOMER_TRACKED, source_unique=self.keyed_sources)
 
     @cached_property
     def snap_product(self) -> DataFrame:
         if "product" in self._snapshots:
             return self._snapshots["product"]
         return scd2_snapshot(self._product_history, self.staged["products"], "product_id",
-                             tracked=dims.PRODUCT_TRACKED)
+                             tracked=dims.PRODUCT_TRACKED, source_unique=self.keyed_sources)
 
     # dimensions -------------------------------------------------------------
     @cached_property
