@@ -1,18 +1,21 @@
 """Data-quality suite (Q-1 … Q-8).
 
-The 58 checks are data (``SUITE``), not code. The runner turns them into one
-DataFrame ``(test, model, column_name, failures)``:
+The 58 checks are data (``NOT_NULL``, ``UNIQUE``, ``RELATIONSHIPS`` and the
+four rules), not code. Each runner returns ``(test, model, column_name,
+failures)`` rows:
 
 * not_null: one aggregate pass per table counts the NULLs of every tested
   column at once, then ``inline`` turns the counts into rows;
 * unique: values that occur more than once (NULLs ignored), counted with a
   two-level aggregate — partial counts before the shuffle;
-* relationships: child rows whose non-NULL key has no parent, a
-  ``left_anti`` join (never multiplies rows);
+* relationships: per child table its foreign keys are unpivoted and
+  anti-joined once against the tagged parent keys (never multiplies rows);
 * rules: the four business rules, each a filter + count.
 
-Nothing is collected: the result is a small DataFrame the caller can write,
-show or gate a publish on.
+``run_suite`` (Q-8) folds not-null, unique and the row rules of a table into
+one two-level aggregate, so the suite computes each table about twice
+instead of once per check. Nothing is collected: the result is a small
+DataFrame the caller can write, show or gate a publish on.
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 ``Warehouse`` wires staged entities → snapshots → dimensions → facts →
 reports. Every property is a lazy DataFrame; nothing runs until an action,
 so a report built from it reads only the columns and tables it needs.
-``plans.publish`` materialises the same graph as versioned Parquet.
+``plans.pipeline`` materialises the same graph as versioned Parquet.
 """
 
 from __future__ import annotations
