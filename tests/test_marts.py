@@ -159,6 +159,9 @@ def test_quality_detects_duplicates_orphans_negatives_and_leaks(spark):
     bad["fct_sales"] = (sales.unionByName(sales.limit(1))
                         .unionByName(sales.limit(1).withColumn("customer_sk", F.lit("orphan"))
                                      .withColumn("sales_sk", F.lit("neg")).withColumn("line_total", F.lit(-1).cast("decimal(18,2)"))))
+    bad["fct_inventory_daily"] = m["fct_inventory_daily"].unionByName(
+        m["fct_inventory_daily"].limit(1).withColumn("inventory_sk", F.lit("neg"))
+        .withColumn("quantity_in", F.lit(-3).cast("bigint")))
     bad["fct_payments"] = m["fct_payments"].unionByName(
         m["flagged_payments"].select("payment_id").join(m["fct_payments"].drop("payment_id").limit(1)))
     res = {(x["test"], x["model"], x["column_name"]): x["failures"] for x in quality.run_suite(bad).collect()}
@@ -166,6 +169,7 @@ def test_quality_detects_duplicates_orphans_negatives_and_leaks(spark):
     assert res[("relationships", "fct_sales", "customer_sk")] == 1
     assert res[("fct_sales_no_negative_line_total", "fct_sales", None)] == 1
     assert res[("fct_payments_no_flagged_payments", "fct_payments", None)] == 2
+    assert res[("fct_inventory_no_negative_quantity", "fct_inventory_daily", None)] == 1
 
 
 def test_current_version_join_restates_history(spark):
