@@ -32,6 +32,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # Size estimates of file scans start from compressed bytes; columnar
+    # Parquet expands several-fold in memory. Scaling the estimate keeps a
+    # fact table that merely compresses well from being planned as a
+    # broadcast side; AQE still broadcasts small sides from runtime sizes.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
