@@ -19,7 +19,7 @@ from starmart.operators.scd2 import current_rows, scd2_backfill, scd2_snapshot
 from starmart.session import scratch_path
 from starmart.sources.lake import to_lake
 from starmart.sources.landing import normalize_names, read_pages, write_pages
-from starmart.sources.tables import Tables, spread
+from starmart.sources.tables import SpreadTables, Tables
 from starmart.sources.testmap import TestMap
 from starmart.streaming.stream_merge import run_stream_merge
 
@@ -149,8 +149,7 @@ def stg_cast(entity: str):
     """ST-*: an entity landed as lake text (uuid keys, ISO timestamps,
     'True'/'False'), then cast back by the staging model."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = TestMap(Tables(spark, sf_dir)).staged()[entity]
-        key = staging.STAGING[entity][0][1]
-        return staging.stage(entity, to_lake(entity, spread(staged, key)))
+        staged = TestMap(SpreadTables(spark, sf_dir)).staged()[entity]
+        return staging.stage(entity, to_lake(entity, staged))
     q.__name__ = f"stg_cast_{entity}"
     return q

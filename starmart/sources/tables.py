@@ -68,3 +68,17 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
         return df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+# The key each driver table is spread on (its primary key).
+TABLE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
+              "part": "p_partkey", "supplier": "s_suppkey", "events": "event_id"}
+
+
+class SpreadTables(Tables):
+    """``Tables`` whose big single-split scans are spread over the cores — for
+    expression-heavy row work (casts, hashing) before the first shuffle."""
+
+    def read(self, name: str) -> DataFrame:
+        df = super().read(name)
+        return spread(df, TABLE_KEYS[name]) if name in TABLE_KEYS else df
