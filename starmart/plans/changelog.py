@@ -153,3 +153,18 @@ def stg_cast(entity: str):
         return staging.stage(entity, to_lake(entity, staged))
     q.__name__ = f"stg_cast_{entity}"
     return q
+
+
+def daily_run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-7/I-12/I-13 end to end: every entity landed as API pages, then the
+    daily run (load → stage → snapshot → marts → test); returns its 58 check
+    results, which must equal the suite over the same tables."""
+    from starmart.plans.pipeline import DailyRun
+    from starmart.sources.lake import land_entity
+    tm = TestMap(Tables(spark, sf_dir))
+    staged = tm.staged()
+    root = scratch_path(spark, "daily")
+    for entity in staging.LOAD_ORDER:
+        land_entity(staged[entity], entity, f"{root}/landing/{entity}")
+    result = DailyRun(spark, f"{root}/warehouse", calendar=tm.calendar_bounds()).build(f"{root}/landing", run_id=1)
+    return result.quality.select("test", "model", "column_name", "failures")

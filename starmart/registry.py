@@ -81,6 +81,7 @@ CHANGELOG: dict[str, Query] = {
     "stg_cast_payment_methods": changelog.stg_cast("payment_methods"),
     "stg_cast_order_items": changelog.stg_cast("order_items"),
     "stg_cast_inventory_movements": changelog.stg_cast("inventory_movements"),
+    "daily_run_quality": changelog.daily_run_quality,
 }
 
 
