@@ -107,3 +107,16 @@ def test_backfill_equals_daily_runs(spark, changes):
         iv = sorted((r.valid_from, r.valid_to) for r in history.where(F.col("k") == k).collect())
         for (a_from, a_to), (b_from, _) in zip(iv, iv[1:]):
             assert a_to is not None and a_to <= b_from
+
+
+def test_scd2_store_appends_only_changes(spark, tmp_dir):
+    import os
+    from starmart.operators.scd2_store import Scd2Store
+    store = Scd2Store(spark, os.path.join(tmp_dir, "snap"))
+    s1 = src(spark, [(1, "a", T[0]), (2, "b", T[0])])
+    store.run(s1, "k", TRACKED)
+    store.run(s1, "k", TRACKED)                       # rerun: nothing closes
+    assert store.closed_rows() is None and store.open_rows().count() == 2
+    h = store.run(src(spark, [(1, "a2", T[3]), (2, "b", T[0])]), "k", TRACKED)
+    assert store.closed_rows().count() == 1 and h.count() == 3
+    assert rows(store.open_rows().select("k", "attr"), ["k"]) == [{"k": 1, "attr": "a2"}, {"k": 2, "attr": "b"}]
