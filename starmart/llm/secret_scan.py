@@ -33,10 +33,14 @@ ASSIGNED = 6
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Tokens that the models judge: long, with a digit.
 TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
+#: Words of the ordinary sample: shorter than what the models judge.
+WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,15}(?![A-Za-z0-9+/_=-])"
 KINDS = ("assign", "access", "hex", "markov")
 #: Documents whose words and ids make up the labelled samples, at most.
 SAMPLE_DOCS = 1000
-MARGIN = 0.5
+MARGIN = 1.0
+#: Weight of a character's overall share in its share after another one.
+PRIOR = 5.0
 REDACTED = "[SECRET]"
 
 
@@ -45,22 +49,26 @@ def train_ratio(docs: DataFrame) -> list[float]:
 
     Fitted on a bounded labelled sample: the ``SAMPLE_DOCS`` documents with the
     least hash of id and text. The result has a number for each pair of the
-    alphabet, whatever the corpus is like; every pair starts from a count of 1.
+    alphabet, whatever the corpus is like; shares after a character are drawn
+    towards the overall ones.
     """
     sample = docs.select(F.col("doc_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     sample = sample.orderBy(F.xxhash64("id", "text")).limit(SAMPLE_DOCS)
     digest = F.sha2(F.coalesce("id", F.lit("")), 256)
     random = sample.select(F.explode(F.array(digest, F.base64(F.unhex(digest)))).alias("s")).withColumn("random", F.lit(True))
-    words = sample.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("s")).withColumn("random", F.lit(False))
+    words = sample.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("s")).withColumn("random", F.lit(False))
     pairs = (random.unionByName(words)
              .select("random", F.explode(F.expr("transform(sequence(1, length(s) - 1), i -> substr(s, i, 2))")).alias("pair"))
              .groupBy("random", "pair").agg(F.count("*").alias("n")).collect())
     n = len(ALPHABET)
     place = {c: i for i, c in enumerate(ALPHABET)}
-    counts = {r: [[1.0] * n for _ in range(n)] for r in (True, False)}
+    counts = {r: [[0.0] * n for _ in range(n)] for r in (True, False)}
     for r in pairs:
         counts[r["random"]][place[r["pair"][0]]][place[r["pair"][1]]] += r["n"]
-    share = {r: [[math.log(x / sum(row)) for x in row] for row in counts[r]] for r in counts}
+    share = {}
+    for kind, table in counts.items():
+        after = [sum(column) + 0.5 for column in zip(*table, strict=True)]
+        share[kind] = [[math.log((x + PRIOR * a / sum(after)) / (sum(row) + PRIOR)) for x, a in zip(row, after, strict=True)] for row in table]
     return [round(a - b, 4) for x, y in zip(share[True], share[False], strict=True) for a, b in zip(x, y, strict=True)]
 
 
