@@ -122,12 +122,13 @@ def relationship_checks(marts: dict[str, DataFrame], spec=None) -> DataFrame:
                  .select(F.inline(F.array(*[F.struct(F.lit(r.column).alias("_c"),
                                                       F.col(r.column).cast("string").alias("_v"))
                                             for r in rels])))
-                 .where(F.col("_v").isNotNull()))
+                 .where(F.col("_v").isNotNull())
+                 .groupBy("_c", "_v").agg(F.count("*").alias("_n")))  # map-side: a few values hold most rows
         parents = _union([marts[r.to_model].select(F.lit(r.column).alias("_c"),
                                                    F.col(r.to_column).cast("string").alias("_v"))
                           for r in rels])
         orphans = pairs.join(parents, ["_c", "_v"], "left_anti")
-        counts = orphans.agg(*[F.count_if(F.col("_c") == r.column).alias(r.column) for r in rels])
+        counts = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("_c") == r.column, F.col("_n"))), F.lit(0)).alias(r.column) for r in rels])
         frames.append(counts.select(F.inline(F.array(
             *[_row("relationships", model, r.column, F.col(r.column)) for r in rels]))))
     return _union(frames)

@@ -10,6 +10,8 @@ parameter of a batch run, like a scheduler's logical date, not data.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -19,7 +21,7 @@ from starmart.operators.scd2 import current_rows, scd2_backfill, scd2_snapshot
 from starmart.session import scratch_path
 from starmart.sources.lake import to_lake
 from starmart.sources.landing import normalize_names, read_pages, write_pages
-from starmart.sources.tables import SpreadTables, Tables
+from starmart.sources.tables import Tables
 from starmart.sources.testmap import TestMap
 from starmart.streaming.stream_merge import run_stream_merge
 
@@ -54,10 +56,8 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _entity_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = TestMap(Tables(spark, sf_dir)).staged()
-    marks = merge.empty_marks(spark)
-    for entity in staging.LOAD_ORDER:
-        marks = merge.save_marks(marks, merge.batch_mark(entity, staged[entity]))
-    return marks
+    new = [merge.batch_mark(entity, staged[entity]) for entity in staging.LOAD_ORDER]
+    return merge.save_marks(merge.empty_marks(spark), reduce(DataFrame.unionByName, new))
 
 
 def high_water_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,14 +134,14 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{root}/landing"
     pages = _event_pages(t)
     day = F.to_date(F.col("updatedAt").cast("timestamp_ntz"))
-    # one folder of page files per day, streamed a few files per micro-batch
+    # one folder of page files per day
     (pages.withColumn("_page", F.floor(F.col("id").cast("bigint") / PAGE_SIZE))
      .groupBy(day.alias("day"), "_page")
      .agg(F.collect_list(F.struct(*pages.columns)).alias("data"))
      .select("day", F.to_json(F.struct("data")).alias("value"))
-     .repartition(4, "day").write.mode("overwrite").partitionBy("day").text(landing))
+     .write.mode("overwrite").partitionBy("day").text(landing))
     table = run_stream_merge(spark, f"{landing}/*/", EVENT_ROW, f"{root}/table", f"{root}/checkpoint",
-                             key=KEY, prepare=_typed_events, max_files_per_trigger=10)
+                             key=KEY, prepare=_typed_events)
     return table.read().select("event_id", KEY, "event_type", "value", "updated_at")
 
 
@@ -149,7 +149,7 @@ def stg_cast(entity: str):
     """ST-*: an entity landed as lake text (uuid keys, ISO timestamps,
     'True'/'False'), then cast back by the staging model."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = TestMap(SpreadTables(spark, sf_dir)).staged()[entity]
+        staged = TestMap(Tables(spark, sf_dir)).staged()[entity]
         return staging.stage(entity, to_lake(entity, staged))
     q.__name__ = f"stg_cast_{entity}"
     return q

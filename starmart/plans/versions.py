@@ -19,6 +19,7 @@ works on a local disk, HDFS or an object store.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,9 +57,14 @@ class _FS:
         return "\n".join(lines)
 
     def create_text(self, p, text: str) -> None:
-        out = self.fs.create(p, False)  # fails if it exists: one writer wins
+        """Write a temporary file, then rename it: no reader sees a part of it."""
+        part = self.jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+        out = self.fs.create(part, False)
         out.write(bytearray(text.encode("utf-8")))
         out.close()
+        if self.fs.exists(p) or not self.fs.rename(part, p):
+            self.fs.delete(part, False)
+            raise FileExistsError(f"{p} is there already: another writer committed this version")
 
 
 class VersionedTable:
@@ -69,20 +75,26 @@ class VersionedTable:
 
     def _commits(self) -> list[int]:
         names = self._fs.list_names(self._fs.child("_commits"))
-        return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json"))
+        return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json") and not n.startswith("."))
 
     def _written(self) -> list[int]:
         return [int(n[2:]) for n in self._fs.list_names(self._fs.path) if n.startswith("v=")]
 
     def current_version(self) -> int | None:
-        c = self._commits()
-        return c[-1] if c else None
+        """The last version whose commit can be read; a broken one is no commit."""
+        return next((v for v in reversed(self._commits()) if self._info(v) is not None), None)
+
+    def _info(self, v: int) -> dict | None:
+        try:
+            return json.loads(self._fs.read_text(self._fs.child("_commits", f"{v:08d}.json")))
+        except json.JSONDecodeError:
+            return None
 
     def commit_info(self, version: int | None = None) -> dict | None:
         v = version if version is not None else self.current_version()
         if v is None:
             return None
-        return json.loads(self._fs.read_text(self._fs.child("_commits", f"{v:08d}.json")))
+        return self._info(v)
 
     def version_path(self, v: int) -> str:
         return f"{self.path}/v={v:08d}"
@@ -93,9 +105,13 @@ class VersionedTable:
             return None
         return self.spark.read.parquet(self.version_path(v))
 
-    def last_batch_id(self) -> int | None:
-        info = self.commit_info()
-        return None if info is None else info.get("batch_id")
+    def last_batch_id(self, query_id: str | None = None) -> int | None:
+        """The batch of the last commit, or of the last one by a stream query."""
+        for v in reversed(self._commits()):
+            info = self._info(v)
+            if info is not None and (query_id is None or info.get("query_id") == query_id):
+                return info.get("batch_id")
+        return None
 
     def exists(self, sub: str) -> bool:
         return self._fs.exists(self._fs.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}"))
@@ -106,7 +122,7 @@ class VersionedTable:
     def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None,
               commit: bool = True, partition_by: list[str] | None = None) -> int:
         """Write ``df`` as the next version; commit unless told not to."""
-        v = max([self.current_version() or 0] + self._written()) + 1
+        v = max([0] + self._commits() + self._written()) + 1
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)

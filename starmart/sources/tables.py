@@ -52,33 +52,3 @@ class Tables:
     @cached_property
     def names(self) -> tuple[str, ...]:
         return TABLES
-
-
-SPREAD_MIN_BYTES = 1 << 20   # by Spark's plan estimate; smaller inputs are not worth a shuffle
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition ``df`` on ``key`` when it has fewer partitions than
-    cores. A big Parquet file with one row group is one scan task; an
-    expression-heavy narrow step over it (casts, hashing) would then run on
-    one core. With many files or row groups — any real input — it is a no-op.
-    """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
-
-
-# The key each driver table is spread on (its primary key).
-TABLE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
-              "part": "p_partkey", "supplier": "s_suppkey", "events": "event_id"}
-
-
-class SpreadTables(Tables):
-    """``Tables`` whose big single-split scans are spread over the cores — for
-    expression-heavy row work (casts, hashing) before the first shuffle."""
-
-    def read(self, name: str) -> DataFrame:
-        df = super().read(name)
-        return spread(df, TABLE_KEYS[name]) if name in TABLE_KEYS else df

@@ -3,8 +3,9 @@
 Landed page files are a file stream; every micro-batch is exploded into rows
 and upserted into a versioned keyed table inside ``foreachBatch``. The
 stream's checkpoint records which files were consumed; the table's commit
-log records the last applied ``batch_id``, so a batch replayed after a crash
-is skipped instead of applied twice. ``trigger(availableNow=True)`` turns the
+log records the last applied ``batch_id`` of the query, so a batch replayed
+after a crash is skipped instead of applied twice, while a new checkpoint (a
+new query) starts over. A page that isn't JSON fails the stream. ``trigger(availableNow=True)`` turns the
 same job into the daily batch: consume what has landed, then stop.
 """
 
@@ -12,18 +13,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from starmart.operators.merge import upsert
 from starmart.plans.versions import VersionedTable
-from starmart.sources.landing import normalize_names, stringify
-
-
-def page_schema(row_schema: StructType) -> StructType:
-    return StructType([
-        StructField("data", ArrayType(row_schema)),
-        StructField("meta", StructType([StructField("has_more", BooleanType()),
-                                        StructField("cursor", StringType())]))])
+from starmart.sources.landing import normalize_names, page_schema, stringify
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -33,12 +27,14 @@ def page_rows(pages: DataFrame) -> DataFrame:
 def merge_batch(table: VersionedTable, key: str, updated_at: str, prepare=None):
     """The ``foreachBatch`` function: idempotent upsert of one micro-batch."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        last = table.last_batch_id()
+        # batch ids count from 0 in each checkpoint, so they compare within one query only
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        last = table.last_batch_id(query)
         if last is not None and batch_id <= last:
             return
         rows = prepare(batch) if prepare else batch
         merged = upsert(table.read(), rows, key=key, updated_at=updated_at, latest_wins=True)
-        table.write(merged, batch_id=batch_id)
+        table.write(merged, batch_id=batch_id, extra={"query_id": query})
     return apply
 
 
@@ -47,7 +43,7 @@ def run_stream_merge(spark: SparkSession, landing: str, row_schema: StructType,
                      max_files_per_trigger: int | None = None) -> VersionedTable:
     """Consume everything landed so far, merge it, stop. Returns the table."""
     table = VersionedTable(spark, table_path)
-    reader = spark.readStream.schema(page_schema(row_schema)).option("primitivesAsString", "true")
+    reader = spark.readStream.schema(page_schema(row_schema)).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     rows = page_rows(reader.json(landing))

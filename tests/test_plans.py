@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from starmart import registry
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -18,7 +19,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_cross_products_or_python(spark, name):
     p = plan(E.queries()[name](spark, SF))
     for bad in FORBIDDEN:

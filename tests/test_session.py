@@ -1,8 +1,6 @@
-"""Session contracts: scratch under the checkpoint dir; spreading is a no-op
-on inputs that already have enough splits."""
+"""Session contracts: scratch below the shared checkpoint folder."""
 
 from starmart.session import ensure_checkpoint_dir, scratch_path
-from starmart.sources.tables import spread
 
 
 def test_scratch_lives_under_checkpoint_dir(spark):
@@ -10,13 +8,3 @@ def test_scratch_lives_under_checkpoint_dir(spark):
     p = scratch_path(spark, "x")
     assert p.startswith(root.rstrip("/") + "/")
     assert scratch_path(spark, "x") != p          # a fresh folder per use
-
-
-def test_spread_only_when_needed(spark):
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 400_000, numPartitions=cores)
-    assert spread(many, "id") is many             # enough splits: unchanged plan
-    tiny = spark.range(0, 10, numPartitions=1)
-    assert spread(tiny, "id") is tiny             # too small to be worth a shuffle
-    big_one = spark.range(0, 400_000, numPartitions=1)
-    assert spread(big_one, "id").rdd.getNumPartitions() > 1
