@@ -209,13 +209,35 @@ def _classes(docs: DataFrame, k: int) -> tuple[DataFrame, Popular]:
         often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy())
 
 
-def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular) -> DataFrame:
+#: Bits of the filter of shared cells, at most: 16 MB, whatever the input is.
+FILTER_BITS = 27
+
+
+def _cell_filter(shared: DataFrame) -> tuple[int, np.ndarray]:
+    """A bitmap of the shared cells. Bits are or-ed by shuffle into at most
+    2 ** (FILTER_BITS - 6) words; in a full one more cells pass, none are lost."""
+    bits = int(np.clip(np.ceil(np.log2(16 * max(1, shared.count()))), 16, FILTER_BITS))
+    bit = F.col("cell").bitwiseAND(F.lit((1 << bits) - 1))
+    words = shared.select(F.shiftright(bit, 6).alias("at"), F.expr("shiftleft(1L, cast(cell & 63 AS int))").alias("bit"))
+    rows = words.groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[rows.column("at").to_numpy()] = rows.column("bit").to_numpy()
+    return bits, table
+
+
+def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, cells=None) -> DataFrame:
+    """(cell, doc_id) of all documents, or of the cells that may be shared."""
+
     def run(batches):
         hashes = WordHashes(lower=True)
         for batch in batches:
             made = [bounds.signatures(shingles(h, k), popular.value) for h in hashes.of(batch.column(1).to_pylist())]
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(m) for m in made])
             flat = np.concatenate(made) if made else np.empty(0, np.int64)
+            if cells is not None:
+                bits, table = cells.value
+                keep = (table[(flat & ((1 << bits) - 1)) >> 6] >> (flat & 63)) & 1 == 1
+                flat, ids = flat[keep], ids[keep]
             for at in range(0, len(flat), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(flat[at:at + 100_000]), pa.array(ids[at:at + 100_000])], names=["cell", "doc_id"])
 
@@ -224,13 +246,14 @@ def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular) -> DataFrame:
 
 def _regions(docs: DataFrame, classes: DataFrame, k: int, bounds: Bounds, popular) -> DataFrame:
     """(pivot, doc): classes that agree with the pivot in a cell."""
-    cells = _signatures(docs, k, bounds, popular)
-    shared = (cells.groupBy("cell").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
-              .where("pivot < last").select("cell", "pivot"))
-    pairs = cells.join(shared, "cell").where("doc_id > pivot").groupBy("pivot", "doc_id").agg(F.lit(1).alias("one"))
+    shared = materialize(
+        _signatures(docs, k, bounds, popular).groupBy("cell").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
+        .where("pivot < last").select("cell", "pivot"), "shared-cells")
+    cells = docs.sparkSession.sparkContext.broadcast(_cell_filter(shared))
+    pairs = (_signatures(docs, k, bounds, popular, cells).join(shared, "cell").where("doc_id > pivot")
+             .groupBy("pivot", "doc_id").agg(F.lit(1).alias("one")))
     reps = classes.where("doc_id = rep").select(F.col("rep").alias("doc")).distinct()
-    return pairs.join(reps, F.col("doc_id") == F.col("doc"), "left_semi").select(
-        "pivot", F.col("doc_id").alias("doc"))
+    return pairs.join(reps, F.col("doc_id") == F.col("doc"), "left_semi").select("pivot", F.col("doc_id").alias("doc"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
