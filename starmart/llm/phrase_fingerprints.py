@@ -23,6 +23,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,36 +33,16 @@ BINS = 64
 EMPTY = np.uint32(0xFFFFFFFF)
 
 
-def _parse(text: str, seen: set[str], left: str = "") -> str:
-    """Add the phrases of ``text`` to ``seen``; the open phrase at its end."""
-    add, w = seen.add, left
+def phrases(text: str) -> set[str]:
+    """The phrases of a text; one that is still open at its end is known already."""
+    seen: set[str] = set()
+    add, w = seen.add, ""
     for c in text:
         w += c
         if w not in seen:
             add(w)
             w = ""
-    return w
-
-
-def phrases(text: str) -> set[str]:
-    seen: set[str] = set()
-    left = _parse(text, seen)
-    return seen | {left} if left else seen
-
-
-def phrases_of_edit(text: str, keep: int, tail: str) -> tuple[set[str], set[str]]:
-    """Phrase sets of ``text`` and of ``text[:keep] + tail``; the common start
-    is parsed once."""
-    seen: set[str] = set()
-    left = _parse(text[:keep], seen)
-    out = []
-    for rest in (text[keep:], tail):
-        own = set(seen)
-        end = _parse(rest, own, left)
-        if end:
-            own.add(end)
-        out.append(own)
-    return out[0], out[1]
+    return seen
 
 
 def signature(found: set[str]) -> np.ndarray:
@@ -125,7 +106,16 @@ def successors(docs: DataFrame) -> DataFrame:
     return numbered.join(taker, "at").select("doc_id", "text_key", "to_id", "to_key", "to_take")
 
 
-MADE = "doc_id long, text_key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double"
+PACKED = "doc_id long, text_key long, fingerprint string, packed binary"
+STARTS = "to_id long, to_key long, start binary, next_fingerprint string"
+MADE = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -133,45 +123,40 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     the start of the next document in descending order of doc_id), and how
     alike they are: ``near_edited``, and ``near_next`` for the next document.
 
-    Texts move twice: whole ones by their key, and the starts that the
-    documents before them take, a third of a text at most.
+    Whole texts move once, by their key and packed, as their fingerprints are
+    made where they are read. A document's start (a third of a text at most)
+    and its fingerprint then move to the document before it.
     """
     order = materialize(successors(docs), "lz-next")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                      F.xxhash64("text").alias("text_key"))
-    linked = own.join(order, own["doc_id"].eqNullSafe(order["doc_id"]) & (own["text_key"] == order["text_key"])).select(
-        own["doc_id"], own["text_key"], "text", "to_id", "to_key", "to_take")
-    starts = (linked.select("to_id", "to_key", F.expr("substring(text, 1, to_take)").alias("start"))
-              .dropDuplicates(["to_id", "to_key"]))
-    both = own.join(starts, own["doc_id"].eqNullSafe(starts["to_id"]) & (own["text_key"] == starts["to_key"])).select(
-        own["doc_id"], own["text_key"], "text", "start")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+                      F.coalesce("text", F.lit("")).alias("text"))
 
-    def run(batches):
+    def pack(batches):
+        coder = zstandard.ZstdCompressor()
+        for batch in batches:
+            yield _batch(PACKED, [(i, k, render(signature(phrases(t))), coder.compress(t.encode()))
+                                  for i, k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)])
+
+    def cut(batches):
+        coder, reader = zstandard.ZstdCompressor(), zstandard.ZstdDecompressor()
+        for batch in batches:
+            yield _batch(STARTS, [(i, k, coder.compress(reader.decompress(p).decode()[:n].encode()), f)
+                                  for i, k, n, p, f in zip(*(c.to_pylist() for c in batch.columns), strict=True)])
+
+    def edit(batches):
+        reader = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for text, start in zip(batch.column("text").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                keep = len(text) - len(text) // 3
-                whole, edit = (render(signature(p)) for p in phrases_of_edit(text, keep, start))
-                rows.append((len(text), hashlib.sha256((text[:keep] + start).encode()).hexdigest(), whole, edit, likeness(whole, edit)))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                names=[f.split()[0] for f in MADE.split(", ")])
-
-    made = materialize(in_arrow(both, run, MADE), "lz-made")
-    ahead = (made.select("doc_id", "text_key", F.col("fingerprint").alias("next_fingerprint")).distinct()
-             .join(order.withColumnsRenamed({"doc_id": "o_id", "text_key": "o_key"}),
-                   F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
-             .select("to_id", "to_key", "next_fingerprint"))
-    return (made.join(ahead, made["doc_id"].eqNullSafe(ahead["to_id"]) & (made["text_key"] == ahead["to_key"]))
-            .select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
-                    alike("fingerprint", "next_fingerprint").alias("near_next")))
-
-
-def alike(a: str, b: str):
-    """:func:`likeness` of two fingerprint columns."""
-    bins = f"transform(sequence(1, {4 * BINS}, 4), i -> named_struct('a', substr({a}, i, 4), 'b', substr({b}, i, 4)))"
-    filled = F.expr(f"size(filter({bins}, x -> x.a != '----' OR x.b != '----'))")
-    same = F.expr(f"size(filter({bins}, x -> x.a = x.b AND x.a != '----'))")
-    return F.when(filled == 0, F.lit(1.0)).otherwise(same / filled)
+            for i, p, whole, s, after in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = reader.decompress(p).decode()
+                edited = text[:len(text) - len(text) // 3] + reader.decompress(s).decode()
+                changed = render(signature(phrases(edited)))
+                rows.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), whole, changed, likeness(whole, changed), likeness(whole, after)))
+            yield _batch(MADE, rows)
+
+    packed = in_arrow(own, pack, PACKED)
+    at = packed["doc_id"].eqNullSafe(order["doc_id"]) & (packed["text_key"] == order["text_key"])
+    linked = packed.join(order, at).select("to_id", "to_key", "to_take", "packed", "fingerprint")
+    starts = in_arrow(linked, cut, STARTS).dropDuplicates(["to_id", "to_key"])
+    both = packed.join(starts, packed["doc_id"].eqNullSafe(starts["to_id"]) & (packed["text_key"] == starts["to_key"]))
+    return in_arrow(both.select("doc_id", "packed", "fingerprint", "start", "next_fingerprint"), edit, MADE)
