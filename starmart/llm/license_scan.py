@@ -56,9 +56,9 @@ def template_places(spark) -> DataFrame:
     for is_base, known in ((True, BASE.items()), (False, ((t, n) for n, t in TEMPLATES.items()))):
         for text, label in known:
             words = text.split()
-            rows += [(f"{'base' if is_base else 'text'}:{text}", is_base, label, len(words) - GRAM + 1, i, words[i], words[i + 1])
+            rows += [f"('{'base' if is_base else 'text'}:{text}', {is_base}, '{label}', {len(words) - GRAM + 1}, {i}, '{words[i]}', '{words[i + 1]}')"
                      for i in range(len(words) - GRAM + 1)]
-    table = spark.createDataFrame(rows, "template string, is_base boolean, label string, grams int, at int, one string, two string")
+    table = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(template, is_base, label, grams, at, one, two)")
     return table.withColumn("gram", F.xxhash64("one", "two"))
 
 
