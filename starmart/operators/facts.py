@@ -2,14 +2,21 @@
 
 Each dimension is cut down to ``(natural key, surrogate key)`` — with the
 ``is_current`` filter for type-2 dims — before it is joined, so a shuffle
-carries two columns of the dim, not all of them. No join is hinted: a tiny
-dim (stores, methods, the calendar) is broadcast by its size estimate, a big
-one (customers, products at scale) is shuffled, and AQE re-decides at runtime
-from the real size of each side.
+carries two columns of the dim, not all of them. The dimension is joined as
+it is: a second row for a natural key doubles the fact's rows, which the
+fact's unique check then reports. No join is hinted: a tiny dim (stores,
+methods, the calendar) is broadcast by its size estimate, a big one
+(customers, products at scale) is shuffled, and AQE re-decides at runtime from
+the real size of each side and splits a hot key.
+
+``keys`` names the surrogate keys a caller reads; the others are neither
+looked up nor returned.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,50 +28,54 @@ REFUND = "refund"
 MOVE_IN, MOVE_OUT = "in", "out"
 
 
-def _keys(dim: DataFrame, natural: str, sk: str, alias: str, current_only: bool = False) -> DataFrame:
-    """``(natural key, surrogate key)``, one row per natural key.
+# The order column from which each surrogate key of an order's fact is looked up.
+ORDER_KEYS = {"customer_sk": "customer_id", "store_sk": "store_id", "employee_sk": "employee_id"}
+SALES_KEYS = ("customer_sk", "product_sk", "store_sk", "employee_sk", "date_key")
+PAYMENT_KEYS = ("customer_sk", "store_sk", "payment_method_sk", "date_key")
+LIFECYCLE_DATES = ("ordered", "paid", "shipped", "delivered")
+LIFECYCLE_KEYS = (*ORDER_KEYS, *[f"{r}_date_key" for r in LIFECYCLE_DATES])
 
-    A dimension holds one (current) row per natural key — the raw tables are
-    keyed and the snapshot keeps one open version. Stating it as an aggregate
-    lets Catalyst drop the join when a query never reads the surrogate key,
-    and costs no extra shuffle when the join is shuffled: the aggregate's hash
-    partitioning on the key is the one the join needs.
-    """
+
+def _lookup(fact: DataFrame, on: Column, dim: DataFrame, natural: str, sk: str, alias: str | None = None,
+            current_only: bool = False) -> DataFrame:
+    """``fact`` with the surrogate key of its row in ``dim``, NULL without one."""
     if current_only:
         dim = dim.where(F.col("is_current"))
-    return (dim.groupBy(F.col(natural).alias(f"{alias}_nk"))
-            .agg(F.min(sk).alias(f"{alias}_{sk}")))
+    keys = dim.select(F.col(natural).alias(f"_{sk}_nk"), F.col(sk).alias(f"_{sk}"))
+    joined = fact.join(keys, on == keys[f"_{sk}_nk"], "left").drop(f"_{sk}_nk")
+    return joined.withColumnRenamed(f"_{sk}", alias or sk)
 
 
-def _lookup(fact: DataFrame, on: Column, dim: DataFrame, natural: str, sk: str, alias: str,
-            current_only: bool = False) -> DataFrame:
-    keys = _keys(dim, natural, sk, alias, current_only)
-    return fact.join(keys, on == keys[f"{alias}_nk"], "left").drop(f"{alias}_nk")
+def sales_order_columns(keys: Collection[str] = SALES_KEYS) -> list[str]:
+    """The order columns that ``fct_sales`` reads for these keys."""
+    return ["order_id", "status", *[c for k, c in ORDER_KEYS.items() if k in keys],
+            *(["ordered_at"] if "date_key" in keys else [])]
 
 
 def fct_sales(items: DataFrame, orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-              dim_store: DataFrame, dim_employee: DataFrame, dim_date: DataFrame) -> DataFrame:
+              dim_store: DataFrame, dim_employee: DataFrame, dim_date: DataFrame,
+              keys: Collection[str] = SALES_KEYS) -> DataFrame:
     """F-1: one row per order line of an order that is not cancelled.
 
     The left join to orders plus ``status != 'cancelled'`` drops lines with no
     order or a NULL status as well (the filter is on the order side), so
-    Catalyst plans it as an inner join with the filter pushed to the scan.
+    Catalyst plans it as an inner join.
     """
-    o = orders.select(F.col("order_id").alias("o_order_id"), F.col("customer_id").alias("o_customer_id"),
-                      F.col("store_id").alias("o_store_id"), F.col("employee_id").alias("o_employee_id"),
-                      F.col("ordered_at").alias("o_ordered_at"), F.col("status").alias("o_status"))
+    o = orders.select(*[F.col(c).alias(f"o_{c}") for c in sales_order_columns(keys)])
     f = items.join(o, items["order_id"] == o["o_order_id"], "left").where(F.col("o_status") != CANCELLED)
-    f = _lookup(f, F.col("o_customer_id"), dim_customer, "customer_id", "customer_sk", "c", True)
-    f = _lookup(f, F.col("product_id"), dim_product, "product_id", "product_sk", "p", True)
-    f = _lookup(f, F.col("o_store_id"), dim_store, "store_id", "store_sk", "s")
-    f = _lookup(f, F.col("o_employee_id"), dim_employee, "employee_id", "employee_sk", "e")
-    f = _lookup(f, day_of("o_ordered_at"), dim_date, "date_key", "date_key", "d")
+    if "customer_sk" in keys:
+        f = _lookup(f, F.col("o_customer_id"), dim_customer, "customer_id", "customer_sk", current_only=True)
+    if "product_sk" in keys:
+        f = _lookup(f, F.col("product_id"), dim_product, "product_id", "product_sk", current_only=True)
+    if "store_sk" in keys:
+        f = _lookup(f, F.col("o_store_id"), dim_store, "store_id", "store_sk")
+    if "employee_sk" in keys:
+        f = _lookup(f, F.col("o_employee_id"), dim_employee, "employee_id", "employee_sk")
+    if "date_key" in keys:
+        f = _lookup(f, day_of("o_ordered_at"), dim_date, "date_key", "date_key")
     return f.select(
         surrogate_key("order_item_id").alias("sales_sk"), "order_id", "order_item_id",
-        F.col("c_customer_sk").alias("customer_sk"), F.col("p_product_sk").alias("product_sk"),
-        F.col("s_store_sk").alias("store_sk"), F.col("e_employee_sk").alias("employee_sk"),
-        F.col("d_date_key").alias("date_key"),
-        "quantity", "unit_price", "discount_pct", "line_total")
+        *[k for k in SALES_KEYS if k in keys], "quantity", "unit_price", "discount_pct", "line_total")
 
 
 def anomalous(amount: Column, ptype: Column) -> Column:
@@ -73,22 +84,25 @@ def anomalous(amount: Column, ptype: Column) -> Column:
 
 
 def fct_payments(payments: DataFrame, orders: DataFrame, dim_customer: DataFrame,
-                 dim_store: DataFrame, dim_payment_method: DataFrame, dim_date: DataFrame) -> DataFrame:
+                 dim_store: DataFrame, dim_payment_method: DataFrame, dim_date: DataFrame,
+                 keys: Collection[str] = PAYMENT_KEYS) -> DataFrame:
     """F-2: payments that are not anomalous. A NULL amount, or a negative one
-    with a NULL type, is in neither this table nor the quarantine."""
-    p = payments.where(~anomalous(F.col("amount_paid"), F.col("payment_type")))
-    o = orders.select(F.col("order_id").alias("o_order_id"), F.col("store_id").alias("o_store_id"))
-    f = p.join(o, p["order_id"] == o["o_order_id"], "left")
-    f = _lookup(f, F.col("customer_id"), dim_customer, "customer_id", "customer_sk", "c", True)
-    f = _lookup(f, F.col("o_store_id"), dim_store, "store_id", "store_sk", "s")
-    f = _lookup(f, F.col("payment_method_id"), dim_payment_method, "payment_method_id",
-                "payment_method_sk", "m")
-    f = _lookup(f, day_of("paid_at"), dim_date, "date_key", "date_key", "d")
+    with a NULL type, is in neither this table nor the quarantine. Orders are
+    joined for their store only."""
+    f = payments.where(~anomalous(F.col("amount_paid"), F.col("payment_type")))
+    if "customer_sk" in keys:
+        f = _lookup(f, F.col("customer_id"), dim_customer, "customer_id", "customer_sk", current_only=True)
+    if "store_sk" in keys:
+        o = orders.select(F.col("order_id").alias("o_order_id"), F.col("store_id").alias("o_store_id"))
+        f = f.join(o, F.col("order_id") == o["o_order_id"], "left")
+        f = _lookup(f, F.col("o_store_id"), dim_store, "store_id", "store_sk")
+    if "payment_method_sk" in keys:
+        f = _lookup(f, F.col("payment_method_id"), dim_payment_method, "payment_method_id", "payment_method_sk")
+    if "date_key" in keys:
+        f = _lookup(f, day_of("paid_at"), dim_date, "date_key", "date_key")
     return f.select(
         surrogate_key("payment_id").alias("payment_sk"), "payment_id", "order_id",
-        F.col("c_customer_sk").alias("customer_sk"), F.col("s_store_sk").alias("store_sk"),
-        F.col("m_payment_method_sk").alias("payment_method_sk"), F.col("d_date_key").alias("date_key"),
-        "amount_paid", "currency", "status", "payment_type")
+        *[k for k in PAYMENT_KEYS if k in keys], "amount_paid", "currency", "status", "payment_type")
 
 
 def flagged_payments(payments: DataFrame) -> DataFrame:
@@ -120,30 +134,37 @@ def fct_inventory_daily(movements: DataFrame, dim_date: DataFrame, dim_product:
                         dim_store: DataFrame) -> DataFrame:
     """F-3. The grain key is ``md5(day|product|store)``: the reference's key has
     no separator and collides for variable-width ids."""
-    dm = daily_movements(movements)
-    f = _lookup(dm, F.col("movement_date"), dim_date, "date_key", "date_key", "d")
-    f = _lookup(f, F.col("product_id"), dim_product, "product_id", "product_sk", "p", True)
-    f = _lookup(f, F.col("store_id"), dim_store, "store_id", "store_sk", "s")
+    f = _lookup(daily_movements(movements), F.col("movement_date"), dim_date, "date_key", "date_key")
+    f = _lookup(f, F.col("product_id"), dim_product, "product_id", "product_sk", current_only=True)
+    f = _lookup(f, F.col("store_id"), dim_store, "store_id", "store_sk")
     return f.select(
         surrogate_key("movement_date", "product_id", "store_id").alias("inventory_sk"),
-        F.col("d_date_key").alias("date_key"), F.col("p_product_sk").alias("product_sk"),
-        F.col("s_store_sk").alias("store_sk"), "quantity_in", "quantity_out",
+        "date_key", "product_sk", "store_sk", "quantity_in", "quantity_out",
         (F.col("quantity_in") - F.col("quantity_out")).alias("net_movement"))
 
 
+def lifecycle_order_columns(keys: Collection[str] = LIFECYCLE_KEYS) -> list[str]:
+    """The order columns that ``fct_order_lifecycle`` reads for these keys."""
+    return ["order_id", *[c for k, c in ORDER_KEYS.items() if k in keys], "status", "total_amount",
+            "discount_amount", *[f"{r}_at" for r in LIFECYCLE_DATES], "cancelled_at"]
+
+
 def fct_order_lifecycle(orders: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,
-                        dim_employee: DataFrame, dim_date: DataFrame) -> DataFrame:
+                        dim_employee: DataFrame, dim_date: DataFrame,
+                        keys: Collection[str] = LIFECYCLE_KEYS) -> DataFrame:
     """F-4: accumulating snapshot of every order (cancelled included), the
     calendar joined in four roles."""
-    f = _lookup(orders, F.col("customer_id"), dim_customer, "customer_id", "customer_sk", "c", True)
-    f = _lookup(f, F.col("store_id"), dim_store, "store_id", "store_sk", "s")
-    f = _lookup(f, F.col("employee_id"), dim_employee, "employee_id", "employee_sk", "e")
-    for role in ("ordered", "paid", "shipped", "delivered"):
-        f = _lookup(f, day_of(f"{role}_at"), dim_date, "date_key", "date_key", role)
+    f = orders
+    if "customer_sk" in keys:
+        f = _lookup(f, F.col("customer_id"), dim_customer, "customer_id", "customer_sk", current_only=True)
+    if "store_sk" in keys:
+        f = _lookup(f, F.col("store_id"), dim_store, "store_id", "store_sk")
+    if "employee_sk" in keys:
+        f = _lookup(f, F.col("employee_id"), dim_employee, "employee_id", "employee_sk")
+    for role in LIFECYCLE_DATES:
+        if f"{role}_date_key" in keys:
+            f = _lookup(f, day_of(f"{role}_at"), dim_date, "date_key", "date_key", f"{role}_date_key")
     return f.select(
-        surrogate_key("order_id").alias("lifecycle_sk"), "order_id",
-        F.col("c_customer_sk").alias("customer_sk"), F.col("s_store_sk").alias("store_sk"),
-        F.col("e_employee_sk").alias("employee_sk"),
-        *[F.col(f"{r}_date_key").alias(f"{r}_date_key") for r in ("ordered", "paid", "shipped", "delivered")],
+        surrogate_key("order_id").alias("lifecycle_sk"), "order_id", *[k for k in LIFECYCLE_KEYS if k in keys],
         "status", "total_amount", "discount_amount", "ordered_at", "paid_at", "shipped_at",
         "delivered_at", "cancelled_at")

@@ -79,17 +79,35 @@ class Warehouse:
         return dims.dim_product(self.snap_product)
 
     # facts ------------------------------------------------------------------
+    def _orders(self, columns=None, status_not: str | None = None) -> DataFrame:
+        """Staged orders; a source that can leave out what isn't read is told so."""
+        pick = getattr(self.staged, "orders", None)
+        return pick(columns, status_not) if pick else self.staged["orders"]
+
+    def sales(self, *keys: str) -> DataFrame:
+        """``fct_sales`` with these surrogate keys only."""
+        orders = self._orders(facts.sales_order_columns(keys), status_not=facts.CANCELLED)
+        return facts.fct_sales(self.staged["order_items"], orders, self.dim_customer, self.dim_product,
+                               self.dim_store, self.dim_employee, self.dim_date, keys)
+
+    def payments(self, *keys: str) -> DataFrame:
+        """``fct_payments`` with these surrogate keys only."""
+        return facts.fct_payments(self.staged["payments"], self._orders(["order_id", "store_id"]),
+                                  self.dim_customer, self.dim_store, self.dim_payment_method,
+                                  self.dim_date, keys)
+
+    def lifecycle(self, *keys: str) -> DataFrame:
+        """``fct_order_lifecycle`` with these surrogate keys only."""
+        return facts.fct_order_lifecycle(self._orders(facts.lifecycle_order_columns(keys)), self.dim_customer, self.dim_store,
+                                         self.dim_employee, self.dim_date, keys)
+
     @cached_property
     def fct_sales(self) -> DataFrame:
-        s = self.staged
-        return facts.fct_sales(s["order_items"], s["orders"], self.dim_customer, self.dim_product,
-                               self.dim_store, self.dim_employee, self.dim_date)
+        return self.sales(*facts.SALES_KEYS)
 
     @cached_property
     def fct_payments(self) -> DataFrame:
-        s = self.staged
-        return facts.fct_payments(s["payments"], s["orders"], self.dim_customer, self.dim_store,
-                                  self.dim_payment_method, self.dim_date)
+        return self.payments(*facts.PAYMENT_KEYS)
 
     @cached_property
     def fct_inventory_daily(self) -> DataFrame:
@@ -98,8 +116,7 @@ class Warehouse:
 
     @cached_property
     def fct_order_lifecycle(self) -> DataFrame:
-        return facts.fct_order_lifecycle(self.staged["orders"], self.dim_customer, self.dim_store,
-                                         self.dim_employee, self.dim_date)
+        return self.lifecycle(*facts.LIFECYCLE_KEYS)
 
     @cached_property
     def flagged_payments(self) -> DataFrame:
@@ -110,37 +127,50 @@ class Warehouse:
 
 
 class Reports:
-    """R-1 … R-9 over any object exposing the marts as attributes."""
+    """R-1 … R-9 over any object exposing the marts as attributes. One that can
+    build a fact with fewer lookups (a ``Warehouse``) is asked for those a report
+    reads; stored marts are read as they are."""
 
     def __init__(self, marts):
         self.m = marts
 
+    def _fact(self, name: str, build: str, *keys: str) -> DataFrame:
+        narrow = getattr(self.m, build, None)
+        return narrow(*keys) if narrow else getattr(self.m, name)
+
+    def _sales(self, *keys: str) -> DataFrame:
+        return self._fact("fct_sales", "sales", *keys)
+
+    def _payments(self, *keys: str) -> DataFrame:
+        return self._fact("fct_payments", "payments", *keys)
+
     def revenue_by_store(self):
-        return reports.revenue_by_store(self.m.fct_sales, self.m.dim_store)
+        return reports.revenue_by_store(self._sales("store_sk"), self.m.dim_store)
 
     def revenue_by_category(self):
-        return reports.revenue_by_category(self.m.fct_sales, self.m.dim_product)
+        return reports.revenue_by_category(self._sales("product_sk"), self.m.dim_product)
 
     def monthly_revenue(self):
-        return reports.monthly_revenue(self.m.fct_sales, self.m.dim_date)
+        return reports.monthly_revenue(self._sales("date_key"), self.m.dim_date)
 
     def customer_segments(self):
-        return reports.customer_segments(self.m.fct_order_lifecycle, self.m.dim_customer)
+        life = self._fact("fct_order_lifecycle", "lifecycle", "customer_sk")
+        return reports.customer_segments(life, self.m.dim_customer)
 
     def top_products(self):
-        return reports.top_products(self.m.fct_sales, self.m.dim_product)
+        return reports.top_products(self._sales("product_sk"), self.m.dim_product)
 
     def discount_bands(self):
-        return reports.discount_bands(self.m.fct_sales)
+        return reports.discount_bands(self._sales())
 
     def payment_methods(self):
-        return reports.payment_methods(self.m.fct_payments, self.m.dim_payment_method)
+        return reports.payment_methods(self._payments("payment_method_sk"), self.m.dim_payment_method)
 
     def flagged_breakdown(self):
         return reports.flagged_breakdown(self.m.flagged_payments)
 
     def refunds(self):
-        return reports.refunds(self.m.fct_payments)
+        return reports.refunds(self._payments())
 
 
 REPORT_NAMES = ("revenue_by_store", "revenue_by_category", "monthly_revenue", "customer_segments",

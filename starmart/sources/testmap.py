@@ -23,6 +23,8 @@ Mapping:
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,16 +87,6 @@ def _values_frame(spark, rows, names) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
 
 
-def keyed(df: DataFrame, key: str, *cols: str) -> DataFrame:
-    """``df`` as a lookup with one row per ``key`` (the table's primary key).
-
-    The driver's key columns are unique, so this changes no value; stating it
-    as an aggregate lets Catalyst drop a left join to the lookup when a query
-    reads none of its columns.
-    """
-    return df.groupBy(key).agg(*[F.min(c).alias(c) for c in cols])
-
-
 def money(c) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast(MONEY)
 
@@ -153,9 +145,9 @@ class TestMap:
         )
 
     def stores(self) -> DataFrame:
-        n, r = self.t.nation, keyed(self.t.region, "r_regionkey", "r_name")
+        n, r = self.t.nation, self.t.region
         return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
-            F.col("n_nationkey").alias("store_id"),
+            F.col("n_nationkey").cast("bigint").alias("store_id"),
             F.col("n_name").alias("store_name"),
             F.col("r_name").alias("city"),
             _null("string").alias("state"),
@@ -203,29 +195,42 @@ class TestMap:
             .cast(MONEY).alias("line_discount"),
         )
 
-    def orders(self) -> DataFrame:
-        o, c = self.t.orders, keyed(self.t.customer, "c_custkey", "c_nationkey")
-        lines = self.order_lines()
-        status = _map(F.col("o_orderstatus"), ORDER_STATUS)
-        return (o.join(c, o.o_custkey == c.c_custkey, "left")
-                .join(lines, o.o_orderkey == lines.l_orderkey, "left")
-                .select(
-                    F.col("o_orderkey").alias("order_id"),
-                    F.col("o_custkey").alias("customer_id"),
-                    F.col("c_nationkey").cast("bigint").alias("store_id"),
-                    F.col("line_employee_id").alias("employee_id"),
-                    status.alias("status"),
-                    _null("string").alias("discount_code"),
-                    F.col("line_discount").alias("discount_amount"),
-                    money("o_totalprice").alias("total_amount"),
-                    F.col("o_orderdate").alias("ordered_at"),
-                    F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("paid_at"),
-                    F.col("first_ship").alias("shipped_at"),
-                    F.col("last_ship").alias("delivered_at"),
-                    F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")).alias("cancelled_at"),
-                    F.col("o_orderdate").alias("created_at"),
-                    F.col("o_orderdate").alias("updated_at"),
-                ))
+    def orders(self, columns: Collection[str] | None = None, status_not: str | None = None) -> DataFrame:
+        """Staged orders. With ``columns``, only those, and only the joins they need.
+
+        ``status_not`` leaves out orders of that status by their raw code, a
+        predicate that reaches the Parquet scan; the caller filters as well.
+        """
+        o = self.t.orders
+        if status_not is not None:
+            for code in [c for c, name in ORDER_STATUS.items() if name == status_not]:
+                o = o.where(F.col("o_orderstatus") != code)
+        day = F.col("o_orderdate")
+        own = {
+            "order_id": F.col("o_orderkey"),
+            "customer_id": F.col("o_custkey"),
+            "store_id": F.col("c_nationkey").cast("bigint"),
+            "employee_id": F.col("line_employee_id"),
+            "status": _map(F.col("o_orderstatus"), ORDER_STATUS),
+            "discount_code": _null("string"),
+            "discount_amount": F.col("line_discount"),
+            "total_amount": money("o_totalprice"),
+            "ordered_at": day,
+            "paid_at": F.when(F.col("o_orderstatus") != "O", day),
+            "shipped_at": F.col("first_ship"),
+            "delivered_at": F.col("last_ship"),
+            "cancelled_at": F.when(F.col("o_orderstatus") == "P", day),
+            "created_at": day,
+            "updated_at": day,
+        }
+        wanted = [c for c in own if columns is None or c in columns]
+        if "store_id" in wanted:
+            c = self.t.customer
+            o = o.join(c, o.o_custkey == c.c_custkey, "left")
+        if {"employee_id", "discount_amount", "shipped_at", "delivered_at"} & set(wanted):
+            lines = self.order_lines()
+            o = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+        return o.select(*[own[c].alias(c) for c in wanted])
 
     def order_items(self) -> DataFrame:
         li = self.t.lineitem
@@ -245,7 +250,7 @@ class TestMap:
         )
 
     def inventory_movements(self) -> DataFrame:
-        li, s = self.t.lineitem, keyed(self.t.supplier, "s_suppkey", "s_nationkey")
+        li, s = self.t.lineitem, self.t.supplier
         return li.join(s, li.l_suppkey == s.s_suppkey, "left").select(
             item_key().alias("movement_id"),
             F.col("l_partkey").alias("product_id"),
@@ -312,6 +317,9 @@ class LazyStaged(dict):
         super().__init__()
         self._tm = tm
 
+    def orders(self, columns: Collection[str] | None = None, status_not: str | None = None) -> DataFrame:
+        return self._tm.orders(columns, status_not)
+
     def __missing__(self, name: str) -> DataFrame:
         if name not in self.NAMES:
             raise KeyError(name)

@@ -185,3 +185,11 @@ def test_current_version_join_restates_history(spark):
     seg = {r["segment"]: r["total_orders"] for r in
            reports.customer_segments(w2.fct_order_lifecycle, w2.dim_customer).collect()}
     assert seg.get("vip") == 3 and "retail" not in seg
+
+
+def test_duplicate_dimension_row_fails_the_facts_unique_check(spark):
+    s = staged(spark)
+    s["stores"] = s["stores"].unionByName(s["stores"])
+    w = Warehouse(s, dims.calendar_bounds(spark))
+    found = quality.unique_checks({"fct_sales": w.fct_sales}, {"fct_sales": ["sales_sk"]}).first()
+    assert found["failures"] > 0
