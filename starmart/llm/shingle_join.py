@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import WordHashes, in_arrow, lists, materialize, mix
+from starmart.llm.common import WordHashes, discard, in_arrow, lists, materialize, mix
 from starmart.llm.components import components
 
 #: Upper end of a size class over its lower end.
@@ -205,7 +205,9 @@ def _classes(docs: DataFrame, k: int) -> tuple[DataFrame, Popular]:
     bar = max(POPULAR_LEAST, int(documents.count() * POPULAR_SHARE))
     often = (made.where("key_b IS NULL").groupBy("key_a").agg(F.sum("n_shingles").alias("n"))
              .where(F.col("n") >= bar).toArrow())  # bounded, see POPULAR_SHARE
-    return materialize(classes, "set-classes"), Popular(
+    kept = materialize(classes, "set-classes")
+    discard(made)
+    return kept, Popular(
         often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy())
 
 
@@ -225,6 +227,11 @@ def _cell_filter(shared: DataFrame) -> tuple[int, np.ndarray]:
     return bits, table
 
 
+def _passes(cells: np.ndarray, bits: int, table: np.ndarray) -> np.ndarray:
+    """Which cells are in the bitmap."""
+    return (table[(cells & ((1 << bits) - 1)) >> 6] >> (cells & 63)) & 1 == 1
+
+
 def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, cells=None) -> DataFrame:
     """(cell, doc_id) of all documents, or of the cells that may be shared."""
 
@@ -235,8 +242,7 @@ def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, cells=None) ->
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(m) for m in made])
             flat = np.concatenate(made) if made else np.empty(0, np.int64)
             if cells is not None:
-                bits, table = cells.value
-                keep = (table[(flat & ((1 << bits) - 1)) >> 6] >> (flat & 63)) & 1 == 1
+                keep = _passes(flat, *cells.value)
                 flat, ids = flat[keep], ids[keep]
             for at in range(0, len(flat), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(flat[at:at + 100_000]), pa.array(ids[at:at + 100_000])], names=["cell", "doc_id"])
@@ -285,7 +291,7 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, one: str, two: str) -> DataFra
 def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> DataFrame:
     """Each document against its pivot: linked or not, its size and distance,
     and the prefixes of its differences that it shows in each ring, with their
-    places.
+    places. A token stands for pivot, ring and difference.
 
     Any order that all members of a region share keeps the prefix exact; this
     one puts first what few of them can share: what a document adds to the
@@ -296,7 +302,8 @@ def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> Da
         known = popular.value
         for batch in batches:
             facts, token, place, own = [], [], [], []
-            for p, x in zip(*(_arrays(batch.column(f"{c}_set")) for c in ("pivot", "doc")), strict=True):
+            pivots = mix(batch.column("pivot").to_numpy(zero_copy_only=False).view(np.uint64) + _ODD[2])
+            for at, p, x in zip(pivots, *(_arrays(batch.column(f"{c}_set")) for c in ("pivot", "doc")), strict=True):
                 more, less = (np.setdiff1d(a, b, assume_unique=True) for a, b in ((x, p), (p, x)))
                 is_linked = bool(bounds.linked(len(x) - len(more), len(x) + len(p)))
                 top = int(known.counts(p).max())
@@ -304,7 +311,7 @@ def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> Da
                 tokens = np.concatenate((mix(more), mix(less ^ _ODD[1])))
                 tokens = tokens[np.lexsort((tokens, order))]
                 rings = bounds.rings(len(tokens), len(x), len(p), is_linked)
-                token.append(np.concatenate([mix(tokens[:size] + np.uint64((ring + 1) * int(_ODD[3]) % (1 << 64))) for ring, size in rings]).view(np.int64))
+                token.append(np.concatenate([mix((tokens[:size] ^ at) + np.uint64((ring + 1) * int(_ODD[3]) % (1 << 64))) for ring, size in rings]).view(np.int64))
                 place.append(np.concatenate([np.arange(min(size, len(tokens)), dtype=np.int32) for _, size in rings]))
                 own.append(np.arange(len(place[-1])) >= len(place[-1]) - min(rings[-1][1], len(tokens)))
                 facts.append((is_linked, len(x), len(tokens)))
@@ -318,23 +325,51 @@ def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> Da
                     "pivot long, doc long, linked boolean, n int, d int, token array<long>, place array<int>, own array<boolean>")
 
 
+def _met(labelled: DataFrame) -> DataFrame:
+    """Tokens (``cell``) that documents of different components show."""
+    shown = labelled.select("label", F.explode(F.arrays_zip("token", "own")).alias("t"))
+    return (shown.groupBy(F.col("t.token").alias("cell"))
+            .agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("t.own").alias("own"))
+            .where("a < b AND own").select("cell"))
+
+
+def _shown(labelled: DataFrame, met) -> DataFrame:
+    """One row for each token of a document that may be among those met."""
+
+    def run(batches):
+        for batch in batches:
+            tokens = batch.column("token")
+            row = np.repeat(np.arange(batch.num_rows), tokens.value_lengths().to_numpy(zero_copy_only=False))
+            cell = tokens.flatten().to_numpy(zero_copy_only=False)
+            keep = np.flatnonzero(_passes(cell, *met.value))
+            for at in range(0, len(keep), 100_000):
+                part = keep[at:at + 100_000]
+                facts = [batch.column(c).take(pa.array(row[part])) for c in ("doc", "n", "d", "label")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell[part]), *facts, *[batch.column(c).flatten().take(pa.array(part)) for c in ("place", "own")]],
+                    names=["cell", "doc", "n", "d", "label", "place", "own"])
+
+    return in_arrow(labelled, run, "cell long, doc long, n int, d int, label long, place int, own boolean")
+
+
 def _candidates(compared: DataFrame, labels: DataFrame, bounds: Bounds) -> DataFrame:
     """(one, two): documents of a ring that aren't connected yet and whose
     shared difference leaves room for as many as a link needs."""
     labelled = compared.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "pivot", "doc", "n", "d", F.coalesce("component", "doc").alias("label"),
-        F.explode(F.arrays_zip("token", "place", "own")).alias("t"))
-    rows = labelled.select("pivot", "doc", "n", "d", "label", F.col("t.token").alias("token"), F.col("t.place").alias("place"), F.col("t.own").alias("own"))
-    met = (rows.groupBy("pivot", "token").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("own").alias("own"))
-           .where("a < b AND own").select("pivot", "token"))
-    rows = materialize(rows.join(met, ["pivot", "token"], "left_semi"), "ring-tokens")
+        "doc", "n", "d", F.coalesce("component", "doc").alias("label"), "token", "place", "own")
+    met = materialize(_met(labelled), "met-tokens")
+    passing = compared.sparkSession.sparkContext.broadcast(_cell_filter(met))
+    rows = materialize(_shown(labelled, passing).join(met, "cell", "left_semi"), "ring-tokens")
     one, two = rows.where("own").alias("x"), rows.alias("y")
     most = f"(((x.n + y.n) * {bounds.den - bounds.num}) div {bounds.den + bounds.num})"
     fits = (f"x.label != y.label AND (NOT y.own OR x.doc < y.doc) AND abs(x.d - y.d) <= {most}"
             f" AND {bounds.num} * greatest(x.n, y.n) <= {bounds.den} * least(x.n, y.n)"
             f" AND 2 * least(x.d - x.place, y.d - y.place) >= x.d + y.d - {most}")
-    return (one.join(two, (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.token") == F.col("y.token")) & F.expr(fits))
-            .select(F.least("x.doc", "y.doc").alias("one"), F.greatest("x.doc", "y.doc").alias("two")).distinct())
+    pairs = (one.join(two, (F.col("x.cell") == F.col("y.cell")) & F.expr(fits))
+             .select(F.least("x.doc", "y.doc").alias("one"), F.greatest("x.doc", "y.doc").alias("two")).distinct())
+    out = materialize(pairs, "pairs")
+    discard(met, rows)
+    return out
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
@@ -361,14 +396,16 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     wanted = regions.select(F.explode(F.array("pivot", "doc")).alias("wanted")).distinct()
     sets = materialize(_sets(known, wanted, k), "region-sets")
     compared = materialize(_compare(regions, sets, bounds, popular), "compared")
+    discard(regions)
     # rows of one id with different texts count as linked
     twice = classes.where("doc_id != rep").join(
         classes.where("doc_id = rep").select(F.col("doc_id").alias("own")), F.col("doc_id") == F.col("own"), "left_semi")
-    links = (compared.where("linked").select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
-             .unionByName(twice.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
-    labels = components(links)
-    pairs = materialize(_candidates(compared, labels, bounds), "pairs")
+    links = materialize(compared.where("linked").select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
+                        .unionByName(twice.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "pivot-links")
+    pairs = _candidates(compared, components(links), bounds)
+    discard(compared)
     found = materialize(_verify(pairs, sets, bounds), "pair-links")
+    discard(pairs, sets)
     of = components(links.unionByName(found))
     return (classes.join(of, F.col("rep") == F.col("node"), "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.col("rep").alias("class_id")))
