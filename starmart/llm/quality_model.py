@@ -1,21 +1,34 @@
 """Quality classifier: interpolated modified Kneser-Ney character n-grams.
 
 One model per language is trained on the trusted texts (labelled quality 1,
-not toxic), all of them but a tenth, which sets the thresholds. Counting is
-distributed: tasks count their own n-grams, counts are summed by shuffle, and
-continuation counts, discounts and back-off weights are joins and groupings of
-the count tables. Every distinct n-gram of the documents is then looked up by
-joins with the sharded count tables, which gives one table of log-probabilities
-for what the documents hold; documents are scored against it shard by shard
-(``SHARD_ROWS``, so that what a task holds is bounded), and partial sums make
-up each document's perplexity. A document is rejected if its perplexity is
-over its language's ``QUANTILE`` among the held-out trusted texts.
+not toxic), and one more for each of ``FOLDS`` folds of the labels, without the
+fold's texts: the counts of a fold are subtracted from those of all. Labelled
+documents are scored by the model without their fold, others by that of all
+texts, so every trusted text sets the threshold and none by a model that knows
+it. Counting is distributed: tasks count their own n-grams, counts are summed by
+shuffle, and continuation counts, discounts and back-off weights are joins and
+groupings of the count tables. Every distinct n-gram of the documents is then
+looked up by joins with the sharded count tables, which gives one table of
+log-probabilities for what the documents hold; documents are scored against it
+shard by shard (``SHARD_ROWS``, so that what a task holds is bounded).
+
+A document is rejected if its perplexity is over its language's threshold:
+
+* with ``RESOLVED`` trusted texts or more, their ``QUANTILE``;
+* with fewer, too few to resolve it, the median of their log-perplexities plus
+  the ``QUANTILE`` of all trusted texts' distances from their language's median,
+  in units of the language's spread (upper quartile less median);
+* with fewer than ``OWN_TEXTS``, or none, a model of its own would know too
+  little: its documents are scored by the pooled model of all languages'
+  trusted texts. The threshold is their own median plus so many of their own
+  spreads as the trusted texts' ``QUANTILE`` is under the pooled models. So a rare language isn't
+  rejected for being unlike the others, but its outliers are.
 
 Characters are folded into ``SYMBOLS`` symbols: code points below 0x530 as they
 are, others by remainder, so that an n-gram is an integer of 12 bits a symbol.
 
-Defined results: null and empty texts have no perplexity and are accepted, as
-are documents of a language without enough held-out trusted texts; a null
+Defined results: null and empty texts have no perplexity and are accepted, as is
+everything if no trusted text is left to score another one with; a null
 language is a language of its own; repeated rows are scored and returned each;
 a document with several labels is trusted only if all of them are good.
 """
@@ -36,8 +49,17 @@ SYMBOLS = 0x530 + 2048
 #: N-grams in a shard of the score table: 16 bytes each in a task.
 SHARD_ROWS = 4_000_000
 QUANTILE = 0.99
-#: Held-out trusted texts that a language needs for a threshold.
-LEAST_HELD = 20
+FOLDS = 3
+#: For n-grams whose contexts leave nothing to others.
+LEAST_P = 1e-12
+#: Trusted texts of a language that resolve the quantile by themselves.
+RESOLVED = 100
+#: Trusted texts of a language that make a model of its own.
+OWN_TEXTS = 20
+#: Spread of logarithms that a language has at least; copies have none.
+LEAST_SPREAD = 0.02
+#: Model of all languages, and what stands before a fold that a model is without.
+POOLED, WITHOUT = "\x03", "\x01"
 _CHUNK = 1 << 21
 
 
@@ -52,8 +74,8 @@ def grams(text: str) -> np.ndarray:
     return out
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n): n-grams of all texts."""
+def _tallies(docs: DataFrame) -> DataFrame:
+    """(lang, gram, n): n-grams of all texts, as often as tasks gave them."""
 
     def run(batches):
         held: dict[str, list[np.ndarray]] = {}
@@ -75,25 +97,49 @@ def _counted(docs: DataFrame) -> DataFrame:
                         size = 0
         yield from flush()
 
-    return in_arrow(docs.select("lang", "text"), run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return in_arrow(docs.select("lang", "text"), run, "lang string, gram long, n long")
 
 
 def _languages(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.coalesce("lang", F.lit("")).alias("lang"))
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    """doc_id and whether it is held out of training."""
+def trusted_ids(labels: DataFrame, out: int = 0) -> DataFrame:
+    """doc_id, fold, and whether it is held out of the model without fold ``out``."""
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")).where("quality = 1 AND toxic = 0")
-    return good.select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0).alias("held"))
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")
+    return good.select("doc_id", fold.alias("fold"), (fold == out).alias("held"))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text, lang, fold of every document row, the fold null unless trusted."""
+    rows, ids = _languages(docs), trusted_ids(labels).select("doc_id", "fold")
+    known = rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left").select("doc_id", "text", "lang", "fold")
+    return known.unionByName(rows.where("doc_id IS NULL").withColumn("fold", F.lit(None).cast("int")))
+
+
+def _fold_counts(learned: DataFrame) -> DataFrame:
+    """(lang, gram, n) of all texts of a language, and of all but those of each fold."""
+    keyed = learned.select(F.concat("lang", F.col("fold").cast("string")).alias("lang"), "text")
+    rows = _tallies(keyed).withColumn("fold", F.right("lang", F.lit(1)).cast("int")).withColumn("lang", F.expr("left(lang, length(lang) - 1)"))
+    sums = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"), *(F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("n"))), F.lit(0)).alias(f"n{f}") for f in range(FOLDS)))
+    cuts = [F.struct("lang", "n"), *(F.struct(F.concat("lang", F.lit(f"{WITHOUT}{f}")).alias("lang"), (F.col("n") - F.col(f"n{f}")).alias("n")) for f in range(FOLDS))]
+    return sums.select("gram", F.explode(F.array(*cuts)).alias("cut")).where("cut.n > 0").select("cut.lang", "gram", "cut.n")
+
+
+def train(docs: DataFrame, labels: DataFrame, out: int = 0) -> list[tuple[DataFrame, DataFrame]]:
+    """The models of :func:`train_marked` without fold ``out``, by language."""
+    end = f"{WITHOUT}{out}"
+    return [tuple(t.where(F.col("lang").endswith(end)).withColumn("lang", F.expr(f"left(lang, length(lang) - {len(end)})")) for t in order)
+            for order in train_marked(marked(docs, labels))]
+
+
+def train_marked(rows: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     """For each order from 1 on: (lang, gram, p) of seen n-grams, p fully
-    interpolated, and (lang, context, back) with the back-off weights."""
-    learned = _languages(docs).join(trusted_ids(labels).where("NOT held"), "doc_id", "left_semi")
-    counts = {ORDER: materialize(_counted(learned), "kn-counts")}
+    interpolated, and (lang, context, back) with the back-off weights. ``lang``
+    is a language, or one without a fold."""
+    counts = {ORDER: materialize(_fold_counts(rows.where("fold IS NOT NULL")), "kn-counts")}
     for n in range(ORDER - 1, 0, -1):
         # how many different symbols stand before an n-gram
         low = F.col("gram").bitwiseAND(F.lit((1 << BITS * n) - 1))
@@ -101,10 +147,10 @@ def train(docs: DataFrame, labels: DataFrame) -> list[tuple[DataFrame, DataFrame
     out: list[tuple[DataFrame, DataFrame]] = []
     for n in range(1, ORDER + 1):
         of = [F.count(F.when(F.col("n") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)]
-        y = F.expr("n1 / (n1 + 2 * n2)")
-        discounts = counts[n].groupBy("lang").agg(*of).select(
-            "lang", *(F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(float(i)), i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")))), F.lit(0.5)).alias(f"d{i}")
-                      for i in (1, 2, 3)))
+        y = F.expr("try_divide(n1, n1 + 2 * n2)")
+        d = {i: i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")) for i in (1, 2, 3)}
+        discounts = counts[n].groupBy("lang").agg(*of).select("lang", *(
+            F.when(d[i].isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(float(i)), d[i]))).otherwise(0.5).alias(f"d{i}") for i in (1, 2, 3)))
         rows = counts[n].join(F.broadcast(discounts), "lang")  # a row for each language
         rows = rows.withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
         rows = rows.withColumn("context", F.shiftright("gram", BITS))
@@ -125,7 +171,7 @@ def gram_scores(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> Da
     """(lang, gram, logp) of every distinct n-gram of the documents whose
     language has a model: the longest seen ending, times the back-off weights
     of the contexts above it."""
-    rows = _counted(_languages(docs)).select("lang", "gram")
+    rows = _tallies(_languages(docs)).select("lang", "gram").distinct()
     rows = rows.join(F.broadcast(model[0][1].select("lang").distinct()), "lang", "left_semi")
     rows = materialize(rows.withColumn("weight", F.lit(1.0)), "kn-open")
     parts = []
@@ -134,11 +180,11 @@ def gram_scores(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> Da
         low = F.col("gram").bitwiseAND(F.lit((1 << BITS * n) - 1))
         seen = seen.select(F.col("lang").alias("l"), F.col("gram").alias("low"), "p")
         tried = materialize(rows.join(seen, (F.col("lang") == F.col("l")) & (low == F.col("low")), "left").select("lang", "gram", "weight", "p"), "kn-tried")
-        parts.append(tried.where("p IS NOT NULL").select("lang", "gram", F.log(F.col("weight") * F.col("p")).alias("logp")))
+        parts.append(tried.where("p IS NOT NULL").select("lang", "gram", F.log(F.greatest(F.col("weight") * F.col("p"), F.lit(LEAST_P))).alias("logp")))
         back = back.select(F.col("lang").alias("l"), F.col("context").alias("c"), "back")
         rows = (tried.where("p IS NULL").join(back, (F.col("lang") == F.col("l")) & (F.shiftright(low, BITS) == F.col("c")), "left")
                 .select("lang", "gram", (F.col("weight") * F.coalesce("back", F.lit(1.0))).alias("weight")))
-    parts.append(rows.select("lang", "gram", F.log(F.col("weight") / SYMBOLS).alias("logp")))
+    parts.append(rows.select("lang", "gram", F.log(F.greatest(F.col("weight") / SYMBOLS, F.lit(LEAST_P))).alias("logp")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -165,44 +211,89 @@ class Lookup:
         mixed = gram.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def sums(self, gram: np.ndarray) -> tuple[float, int]:
-        """Sum of the values of those n-grams that the table has, and how many."""
-        slot, total, met = self._slot(gram), 0.0, 0
-        while len(gram):
+    def values(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each n-gram's value, 0 if the table lacks it, and whether it has it."""
+        out, met = np.zeros(len(gram), np.float32), np.zeros(len(gram), bool)
+        slot, left = self._slot(gram), np.arange(len(gram))
+        while len(left):
             at = self.gram[slot]
-            hit = at == gram
-            total += float(self.value[slot[hit]].sum(dtype=np.float64))
-            met += int(hit.sum())
+            hit = at == gram[left]
+            out[left[hit]] = self.value[slot[hit]]
+            met[left[hit]] = True
             on = ~hit & (at != -1)
-            gram, slot = gram[on], (slot[on] + 1) & ((1 << self.bits) - 1)
-        return total, met
+            left, slot = left[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+        return out, met
 
 
 def perplexities(docs: DataFrame, scores: DataFrame) -> DataFrame:
-    """doc_id, lang, copies and perplexity of each distinct document row."""
-    spark = docs.sparkSession
+    """doc_id, lang and perplexity of each document row."""
+    rows = _languages(docs)
+    return judged(rows.withColumn("model", F.col("lang")), scores).drop("model")
+
+
+def judged(rows: DataFrame, scores: DataFrame) -> DataFrame:
+    """``rows`` with the perplexity of their texts under ``model``, without the texts.
+
+    A task goes once through its texts. It holds the n-grams of so many
+    characters (``_CHUNK``) and one shard of the scores after the other."""
+    spark = rows.sparkSession
     shards = max(1, -(-scores.count() // SHARD_ROWS))
-    keyed = _languages(docs).select("doc_id", "lang", F.xxhash64("text").alias("key"), "text")
-    parts = None
+    parts = []
     for shard in range(shards):
         own = scores.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == shard).toArrow()  # SHARD_ROWS rows
-        own = spark.sparkContext.broadcast({lang: _columns(own, lang) for lang in own.column("lang").unique().to_pylist()})
+        parts.append(spark.sparkContext.broadcast({lang: _columns(own, lang) for lang in own.column("lang").unique().to_pylist()}))
+    kept = [c for c in rows.columns if c not in ("text", "model")]
+
+    def run(batches):
+        held = {}
 
-        def run(batches, own=own):
-            tables = {lang: Lookup(*columns) for lang, columns in own.value.items()}
-            for batch in batches:
-                found = [tables[lang].sums(grams(text)) if text and lang in tables else (0.0, 0)
-                         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("lang"), batch.column("key"),
-                     pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int64())],
-                    names=["doc_id", "lang", "key", "logp", "n"])
+        def tables(shard):
+            if shard not in held:
+                held.clear()
+                held[shard] = {lang: Lookup(*columns) for lang, columns in parts[shard].value.items()}
+                vars(parts[shard]).pop("_value", None)  # read again from its file if needed
+            return held[shard]
 
-        part = in_arrow(keyed, run, "doc_id long, lang string, key long, logp double, n long")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts.groupBy("doc_id", "lang", "key").agg(
-        (F.count("*") / shards).cast("int").alias("copies"),
-        F.when(F.sum("n") > 0, F.exp(-F.sum("logp") / F.sum("n"))).alias("perplexity"))
+        for batch in batches:
+            models, texts = batch.column("model").to_pylist(), batch.column("text").to_pylist()
+            found: list[float | None] = [None] * len(texts)
+            for some in _chunks(texts):
+                by_model: dict[str, list[int]] = {}
+                for i in some:
+                    if texts[i]:
+                        by_model.setdefault(models[i], []).append(i)
+                gram = {m: [grams(texts[i]) for i in of] for m, of in by_model.items()}
+                gram = {m: (np.concatenate(g), np.cumsum([0, *map(len, g)])) for m, g in gram.items()}
+                logp = {m: np.zeros(len(g), np.float64) for m, (g, _) in gram.items()}
+                met = {m: np.zeros(len(g), bool) for m, (g, _) in gram.items()}
+                for shard in range(shards):
+                    for m, (g, _) in gram.items():
+                        if m in tables(shard):
+                            value, has = tables(shard)[m].values(g)
+                            logp[m] += value
+                            met[m] |= has
+                for m, of in by_model.items():
+                    ends = gram[m][1]
+                    total, n = np.add.reduceat(logp[m], ends[:-1]), np.add.reduceat(met[m], ends[:-1], dtype=np.int64)
+                    for i, a, b in zip(of, total.tolist(), n.tolist(), strict=True):
+                        found[i] = float(np.exp(-a / b)) if b else None
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*kept, "model")), pa.array(found, pa.float64())], names=[*kept, "model", "perplexity"])
+
+    schema = ", ".join(f"{c} {t}" for c, t in rows.select(*kept, "model").dtypes)
+    return in_arrow(rows.select(*kept, "model", "text"), run, f"{schema}, perplexity double")
+
+
+def _chunks(texts: list):
+    """Runs of row numbers, each of at most ``_CHUNK`` characters or one text."""
+    some, size = [], 0
+    for i, text in enumerate(texts):
+        if some and size + len(text or "") > _CHUNK:
+            yield some
+            some, size = [], 0
+        some.append(i)
+        size += len(text or "")
+    if some:
+        yield some
 
 
 def _columns(table: pa.Table, lang: str) -> tuple[np.ndarray, np.ndarray]:
@@ -212,14 +303,44 @@ def _columns(table: pa.Table, lang: str) -> tuple[np.ndarray, np.ndarray]:
     return rows.column("gram").to_numpy(), rows.column("logp").to_numpy().astype(np.float32)
 
 
+def _modelled(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``base``, the language whose models score them, or the pool.
+    If a language needs the pool, trusted texts of the others are added to it
+    once more, marked as ``extra``."""
+    texts = rows.groupBy("lang").agg(F.count(F.when(F.col("fold").isNotNull() & (F.length("text") > 0), 1)).alias("n"))
+    texts = materialize(texts.select("lang", (F.col("n") >= OWN_TEXTS).alias("own")), "languages")
+    rows = rows.join(F.broadcast(texts), "lang")  # a row for each language
+    out = rows.withColumn("base", F.when(F.col("own"), F.col("lang")).otherwise(POOLED)).withColumn("extra", F.lit(False))
+    if not texts.where("NOT own").isEmpty():
+        out = out.unionByName(rows.where("own AND fold IS NOT NULL").withColumn("base", F.lit(POOLED)).withColumn("extra", F.lit(True)))
+    return out.drop("own").withColumn("model", F.concat("base", F.coalesce(F.concat(F.lit(WITHOUT), F.col("fold").cast("string")), F.lit(""))))
+
+
+def thresholds(scored: DataFrame, measure: str) -> DataFrame:
+    """base, lang, threshold of a measure, a logarithm, that trusted texts
+    shouldn't be over; see the top of the module."""
+    trusted = F.col("fold").isNotNull()
+    quantile = lambda x, q: F.percentile_approx(x, F.lit(q), F.lit(10_000))
+    rows = scored.where(F.col(measure).isNotNull() & (trusted | (F.col("base") == POOLED)))
+    centers = materialize(rows.groupBy("base", "lang").agg(
+        F.count(F.when(trusted, 1)).alias("n"), quantile(F.col(measure), 0.5).alias("center"),
+        F.greatest(quantile(F.col(measure), 0.75) - quantile(F.col(measure), 0.5), F.lit(LEAST_SPREAD)).alias("spread"),
+        quantile(F.when(trusted, F.col(measure)), QUANTILE).alias("highest")), "centers")
+    pooled = (F.col("base") == POOLED).alias("pooled")
+    margins = (rows.where(trusted).join(F.broadcast(centers), ["base", "lang"])  # a row for each language
+               .groupBy(pooled).agg(quantile((F.col(measure) - F.col("center")) / F.col("spread"), QUANTILE).alias("margin")))
+    own = (F.col("base") != POOLED) & (F.col("n") >= RESOLVED)
+    return materialize(centers.withColumn("pooled", pooled).join(F.broadcast(margins), "pooled", "left").select(
+        "base", "lang", F.when(own, F.col("highest")).otherwise(F.col("center") + F.col("margin") * F.col("spread")).alias("threshold")), "thresholds")
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, perplexity, threshold, accepted of every document row."""
-    scores = gram_scores(docs, train(docs, labels))
-    judged = materialize(perplexities(docs, scores), "perplexities")
-    held = judged.where("perplexity IS NOT NULL").join(trusted_ids(labels).where("held"), "doc_id", "left_semi")
-    bars = held.groupBy("lang").agg(F.count("*").alias("n"), F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(10_000)).alias("threshold"))
-    bars = materialize(bars.where(F.col("n") >= LEAST_HELD).select("lang", "threshold"), "thresholds")
-    rows = judged.join(F.broadcast(bars), "lang", "left")  # a row for each language
-    return rows.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), "perplexity", "threshold",
-                       F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("accepted"),
-                       F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+    rows = _modelled(materialize(marked(docs, labels), "marked"))
+    by_model = rows.select("doc_id", "text", F.col("model").alias("lang"))
+    scores = gram_scores(by_model, train_marked(rows.select("text", F.col("base").alias("lang"), "fold")))
+    scored = materialize(judged(rows, scores).withColumn("surprise", F.log("perplexity")), "perplexities")
+    bars = thresholds(scored, "surprise")
+    out = scored.where("NOT extra").join(F.broadcast(bars), ["base", "lang"], "left")  # a row for each language
+    return out.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), "perplexity", F.exp("threshold").alias("threshold"),
+                      F.coalesce(F.col("surprise") <= F.col("threshold"), F.lit(True)).alias("accepted"))

@@ -286,6 +286,36 @@ def test_quality_on_labels(spark):
     assert kept[0, False] >= 0.6 * (kept[0, True] + kept[0, False])
 
 
+def test_every_trusted_text_is_scored_without_its_fold(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aabbcd ") for _ in range(40)) + letter for letter in "ffgghijklmnopqrstuvwxyzA"]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(24)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["perplexity"] for r in quality_model.classify(docs, labels).collect()}
+    for fold in range(quality_model.FOLDS):
+        ids = {r["doc_id"]: r["held"] for r in quality_model.trusted_ids(labels, fold).collect()}
+        p = brute_kneser_ney([t for i, t in enumerate(texts) if not ids[i]])
+        for i in (i for i in ids if ids[i]):
+            assert got[i] == pytest.approx(np.exp(-np.mean([np.log(max(p(g), quality_model.LEAST_P)) for g in windows_of(texts[i], quality_model.ORDER)])), rel=1e-4)
+
+
+def test_bad_texts_of_thin_languages_are_rejected(spark):
+    rng = random.Random(7)
+    syllables = {"aa": "ba do li ne ".split(" "), "bb": "zu xi qe vo ".split(" "), "cc": "dob nul qen ".split(" ")}
+    rows, labels = [], []
+    for lang, trusted in (("aa", 60), ("bb", 30), ("bb2", 5), ("cc", 0)):
+        for _ in range(max(trusted, 40)):
+            rows.append((len(rows), "".join(rng.choice(syllables[lang[:2]] + [" "]) for _ in range(120)), lang))
+            labels += [(rows[-1][0], 1, 0)] * (sum(r[2] == lang for r in rows) <= trusted)
+        rows.append((len(rows), "".join(chr(rng.randint(33, 126)) for _ in range(250)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality_model.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    bad = {r[0] for i, r in enumerate(rows) if i + 1 == len(rows) or rows[i + 1][2] != r[2]}
+    assert {r["doc_id"] for r in got if not r["accepted"]} >= bad
+    for lang in ("aa", "bb", "bb2", "cc"):
+        assert np.mean([r["accepted"] for r in got if r["lang"] == lang and r["doc_id"] not in bad]) > 0.8, lang
+
+
 def test_contamination(spark, documents):
     items = spark.read.parquet(f"{SF}/benchmark.parquet").unionByName(spark.createDataFrame([(900, "The OF"), (901, "..."), (902, None), (903, "École é")], "item_id long, text string"))
     docs = documents.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, "the of the of École é école é"), (-2, None)], "doc_id long, text string"))
