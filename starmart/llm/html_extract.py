@@ -3,8 +3,9 @@
 Text nodes are grouped by their root-to-leaf tag path. A path's ratio is its
 text length per node, and its punctuation per node; node by node these are
 smoothed over the page order, fused into one score, and paths whose score is
-over the page's mean are content. The content region is the deepest element
-that holds most of the content paths' text, an ``article`` or ``main`` above it
+over the page's mean are content. The content region is the lowest element that
+holds the containers of all content nodes (of those in ``article`` or ``main``, if
+most of the content paths' text is there), or an ``article`` or ``main`` above it
 if there is one, and all blocks of that region are kept, short ones too, except
 those inside elements that are furniture by their kind or name.
 
@@ -36,6 +37,9 @@ h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summar
 NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|header|footer|comments?|replies|disqus|"
                    r"notice|cookies?|consent|gdpr|popup|modal|newsletter|subscribe|share|sharing|social|related|login|widget)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog menu alert".split())
+#: Kinds of elements that are parts of a text; what holds them is a container.
+PARTS = frozenset("""blockquote center dd details dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup li ol p pre section
+summary table tbody td tfoot th thead tr ul""".split())
 #: A start tag closes open elements of these kinds, up to the nearest other block.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -45,10 +49,10 @@ SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "furniture", "length")
+    __slots__ = ("tag", "parent", "path", "furniture")
 
     def __init__(self, tag: str, parent: Element | None, furniture: bool):
-        self.tag, self.parent, self.length = tag, parent, 0
+        self.tag, self.parent = tag, parent
         self.path = f"{parent.path}/{tag}" if parent else tag
         self.furniture = furniture or bool(parent and parent.furniture)
 
@@ -140,6 +144,27 @@ def path_scores(nodes: list[tuple[Element, str]]) -> dict[str, float]:
     return {p: s / count[p] for p, s in total.items()}
 
 
+def _ancestors(element: Element) -> list[Element]:
+    """The elements from the root down to this one."""
+    out = []
+    while element is not None:
+        out.append(element)
+        element = element.parent
+    return out[::-1]
+
+
+def _article(element: Element) -> Element | None:
+    """The outermost article or main that the element is in."""
+    return next((e for e in _ancestors(element) if e.tag in ("article", "main")), None)
+
+
+def _container(element: Element) -> Element:
+    """The nearest block that isn't only a part of a text."""
+    while element.parent is not None and (element.tag not in BLOCKS or element.tag in PARTS):
+        element = element.parent
+    return element
+
+
 def main_text(page: str | None) -> str:
     """The page's article, one block a line."""
     found = [(e, b, t) for e, b, t in text_nodes(page or "") if not e.furniture]
@@ -150,21 +175,21 @@ def main_text(page: str | None) -> str:
     bar = float(np.mean([scores[e.path] for e, _ in nodes]))
     content = [(e, t) for e, t in nodes if scores[e.path] >= bar] or nodes
     total = sum(len(t) for _, t in content)
-    inside: dict[int, Element] = {}
-    for element, text in content:
-        node = element
-        while node is not None:
-            node.length += len(text)
-            inside[id(node)] = node
-            node = node.parent
-    region = max((e for e in inside.values() if 2 * e.length > total), key=lambda e: e.path.count("/") if e.parent else -1)
-    node = region
-    while node is not None:
-        if node.tag in ("article", "main"):
-            region = node
-        node = node.parent
-    while region.parent is not None and (region.tag not in BLOCKS or region.tag == "p"):
-        region = region.parent
+    named = [(e, t) for e, t in content if _article(e)]
+    if 2 * sum(len(t) for _, t in named) > total:
+        content = named
+    region = None
+    for element in {id(e): e for e, _ in content}.values():
+        above = _ancestors(_container(element))
+        if region is None:
+            region = above[-1]
+            continue
+        for x, y in zip(above, _ancestors(region), strict=False):
+            if x is not y:
+                break
+            shared = x
+        region = shared
+    region = _article(region) or region
 
     def within(element: Element | None) -> bool:
         while element is not None:

@@ -233,6 +233,18 @@ def test_html():
     assert html_extract.main_text("plain  text") == "plain text"
 
 
+def test_html_without_article_keeps_all_siblings():
+    def words_of(n):
+        return ("some words, here. " * n)[:n]
+
+    for tag, inner in (("blockquote", "{}"), ("ul", "<li>{}</li>"), ("pre", "{}"), ("table", "<tr><td>{}</td></tr>"), ("section", "<p>{}</p>")):
+        page = f"<body><nav>Menu</nav><p>First {words_of(80)}</p><{tag}>{inner.format('Quote ' + words_of(300))}</{tag}><p>Last {words_of(60)}</p></body>"
+        assert [line.split()[0] for line in html_extract.main_text(page).split("\n")] == ["First", "Quote", "Last"], tag
+    for tag in ("section", "article", "div"):
+        page = f"<body><nav>Menu</nav><{tag}><p>One {words_of(600)}</p></{tag}><{tag}><p>Two {words_of(400)}</p></{tag}></body>"
+        assert [line.split()[0] for line in html_extract.main_text(page).split("\n")] == ["One", "Two"], tag
+
+
 def brute_kneser_ney(texts, order=quality_model.ORDER):
     """Probabilities by the definition, for texts below U+0530."""
     counts = [None] * (order + 1)
