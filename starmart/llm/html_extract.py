@@ -9,6 +9,12 @@ most of the content paths' text is there), or an ``article`` or ``main`` above i
 if there is one, and all blocks of that region are kept, short ones too, except
 those inside elements that are furniture by their kind or name.
 
+An element is furniture by name if a whole class token, or the id of what isn't
+a heading, is made of names only, and its nodes' tag paths bear it out: inside
+an article it isn't if most of its own text is on content paths; and if no article
+or main stands outside of named elements, neither is what holds most of the
+content paths' text, or the longest article or main.
+
 Pages are parsed where they are read; a page needs nothing from another one.
 
 Defined results: null and empty pages and pages without text give an empty
@@ -34,8 +40,11 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 FURNITURE = frozenset("nav footer aside form button menu dialog label head".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
-NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|header|footer|comments?|replies|disqus|"
-                   r"notice|cookies?|consent|gdpr|popup|modal|newsletter|subscribe|share|sharing|social|related|login|widget)(?:$|[\s_-])", re.I)
+NAME = (r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|header|footer|comments?|replies|disqus|"
+        r"notice|cookies?|consent|gdpr|popup|modal|newsletter|subscribe|share|sharing|social|related|login|widget)")
+#: A class token or id: names, with a word for the whole site before them.
+NAMES = re.compile(rf"(?:(?:site|global)[_-]+)?{NAME}(?:[_-]+{NAME})*", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog menu alert".split())
 #: Kinds of elements that are parts of a text; what holds them is a container.
 PARTS = frozenset("""blockquote center dd details dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup li ol p pre section
@@ -49,10 +58,10 @@ SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "furniture")
+    __slots__ = ("tag", "parent", "path", "furniture", "named")
 
-    def __init__(self, tag: str, parent: Element | None, furniture: bool):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: Element | None, furniture: bool, named: bool = False):
+        self.tag, self.parent, self.named = tag, parent, named
         self.path = f"{parent.path}/{tag}" if parent else tag
         self.furniture = furniture or bool(parent and parent.furniture)
 
@@ -64,7 +73,16 @@ def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
         value, name = a or b or c, name.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and NAMES.search(value):
+    return False
+
+
+def _is_named(tag: str, attributes: str) -> bool:
+    """Whether a class or the id is a name of furniture."""
+    if tag in ("html", "body", "article", "main"):
+        return False
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if (name == "class" or (name == "id" and tag not in HEADINGS)) and any(NAMES.fullmatch(x) for x in (a or b or c).split()):
             return True
     return False
 
@@ -117,7 +135,7 @@ def text_nodes(page: str):
                 above, node = False, here
                 while node is not root and not above:
                     above, node = node.tag in ("article", "main"), node.parent
-                here = Element(tag, here, _is_furniture(tag, m[3], above))
+                here = Element(tag, here, _is_furniture(tag, m[3], above), _is_named(tag, m[3]))
     return out
 
 
@@ -165,9 +183,41 @@ def _container(element: Element) -> Element:
     return element
 
 
+def _confirm_names(nodes: list[tuple[Element, str]]) -> None:
+    """Clear ``named`` of elements whose text isn't furniture; see the top."""
+    if not any(a.named for e in {id(e): e for e, _ in nodes}.values() for a in _ancestors(e)):
+        return
+    scores = path_scores(nodes)
+    bar = float(np.mean([scores[e.path] for e, _ in nodes]))
+    total, free = 0, False
+    held: dict[int, list] = {}  # element, its text, its text on content paths
+    articles: dict[int, list] = {}
+    for element, text in nodes:
+        above, content = _ancestors(element), len(text) * (scores[element.path] >= bar)
+        total += content
+        article = _article(element)
+        if article is not None:
+            articles.setdefault(id(article), [article, 0])[1] += len(text)
+            free = free or not any(e.named for e in _ancestors(article))
+        for e in above:
+            if e.named:
+                of = held.setdefault(id(e), [e, 0, 0])
+                of[1] += len(text)
+                of[2] += content
+    for e, text, content in held.values():
+        if (not free and 2 * content > total) or (_article(e) and 2 * content > text):
+            e.named = False
+    if articles and not free:
+        for e in _ancestors(max(articles.values(), key=lambda x: x[1])[0]):
+            e.named = False
+
+
 def main_text(page: str | None) -> str:
     """The page's article, one block a line."""
     found = [(e, b, t) for e, b, t in text_nodes(page or "") if not e.furniture]
+    _confirm_names([(e, t) for e, _, t in found if not t.isspace()])
+    inside_named: dict[int, bool] = {}
+    found = [x for x in found if not inside_named.setdefault(id(x[0]), any(e.named for e in _ancestors(x[0])))]
     nodes = [(e, t) for e, _, t in found if not t.isspace()]
     if not nodes:
         return ""

@@ -245,6 +245,19 @@ def test_html_without_article_keeps_all_siblings():
         assert [line.split()[0] for line in html_extract.main_text(page).split("\n")] == ["One", "Two"], tag
 
 
+def test_html_names_are_whole_and_confirmed():
+    prose = "A long sentence of the text, with commas, and more. " * 8
+    for name in ("content with-sidebar", "no-sidebar", "has-menu", "elementor-widget", "widget"):
+        page = f"<body><div class='{name}'><article><h1>Head</h1><p>{prose}</p></article></div><div id='comments'><p>Me, too.</p></div></body>"
+        assert html_extract.main_text(page) == f"Head\n{prose.strip()}", name
+    parts = ("<h2 id='side-effects'>Effects</h2>", "<section id='related-work'><p>Work.</p></section>", "<h2 id='share'>Share</h2>",
+             "<p id='share-prices'>Prices.</p>", "<div class='entry-header'>Entry</div>")
+    text = html_extract.main_text(f"<body><article><p>{prose}</p>{''.join(parts)}<div class='share'>Send</div></article></body>").split("\n")
+    assert text[1:] == ["Effects", "Work.", "Share", "Prices.", "Entry"]
+    page = f"<body><div class='site-footer'>Foot</div><div class='story'><p>{prose}</p></div><div class='comments'><article><p>I agree.</p></article></div></body>"
+    assert html_extract.main_text(page) == prose.strip()
+
+
 def brute_kneser_ney(texts, order=quality_model.ORDER):
     """Probabilities by the definition, for texts below U+0530."""
     counts = [None] * (order + 1)
