@@ -24,6 +24,13 @@ A document is rejected if its perplexity is over its language's threshold:
   spreads as the trusted texts' ``QUANTILE`` is under the pooled models. So a rare language isn't
   rejected for being unlike the others, but its outliers are.
 
+A few toxic words hardly move a perplexity, nor are they the oddest words of a
+text: addresses and keys are odder. So a second model of each kind is trained on
+the texts labelled toxic, and a document's contrast is the largest logarithm of the
+ratio of both models' probabilities over ``WINDOW`` characters. A document is
+rejected too if its contrast is over the threshold, set in the same way by the
+trusted texts. Without texts labelled toxic in a language, there is none.
+
 Characters are folded into ``SYMBOLS`` symbols: code points below 0x530 as they
 are, others by remainder, so that an n-gram is an integer of 12 bits a symbol.
 
@@ -60,6 +67,10 @@ OWN_TEXTS = 20
 LEAST_SPREAD = 0.02
 #: Model of all languages, and what stands before a fold that a model is without.
 POOLED, WITHOUT = "\x03", "\x01"
+#: What stands before the name of a model of toxic texts.
+TOXIC = "\x02"
+#: Characters of the window that contrasts are taken over.
+WINDOW = 14
 _CHUNK = 1 << 21
 
 
@@ -112,11 +123,21 @@ def trusted_ids(labels: DataFrame, out: int = 0) -> DataFrame:
     return good.select("doc_id", fold.alias("fold"), (fold == out).alias("held"))
 
 
+def toxic_ids(labels: DataFrame) -> DataFrame:
+    """doc_id and fold of what a label calls toxic."""
+    bad = labels.where("toxic = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    return bad.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"))
+
+
 def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, lang, fold of every document row, the fold null unless trusted."""
-    rows, ids = _languages(docs), trusted_ids(labels).select("doc_id", "fold")
-    known = rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left").select("doc_id", "text", "lang", "fold")
-    return known.unionByName(rows.where("doc_id IS NULL").withColumn("fold", F.lit(None).cast("int")))
+    """doc_id, text, lang, fold, toxic of every document row; both null unless
+    the document is trusted or toxic."""
+    rows = _languages(docs)
+    ids = (trusted_ids(labels).select("doc_id", "fold", F.lit(False).alias("toxic"))
+           .unionByName(toxic_ids(labels).withColumn("toxic", F.lit(True))))
+    known = rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left").select("doc_id", "text", "lang", "fold", "toxic")
+    nulls = (F.lit(None).cast(t).alias(c) for c, t in (("fold", "int"), ("toxic", "boolean")))
+    return known.unionByName(rows.where("doc_id IS NULL").select("*", *nulls))
 
 
 def _fold_counts(learned: DataFrame) -> DataFrame:
@@ -138,8 +159,9 @@ def train(docs: DataFrame, labels: DataFrame, out: int = 0) -> list[tuple[DataFr
 def train_marked(rows: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     """For each order from 1 on: (lang, gram, p) of seen n-grams, p fully
     interpolated, and (lang, context, back) with the back-off weights. ``lang``
-    is a language, or one without a fold."""
-    counts = {ORDER: materialize(_fold_counts(rows.where("fold IS NOT NULL")), "kn-counts")}
+    is a language, or one without a fold, of trusted or of toxic texts."""
+    learned = rows.where("fold IS NOT NULL").withColumn("lang", F.when(F.col("toxic"), F.concat(F.lit(TOXIC), "lang")).otherwise(F.col("lang")))
+    counts = {ORDER: materialize(_fold_counts(learned), "kn-counts")}
     for n in range(ORDER - 1, 0, -1):
         # how many different symbols stand before an n-gram
         low = F.col("gram").bitwiseAND(F.lit((1 << BITS * n) - 1))
@@ -168,10 +190,11 @@ def train_marked(rows: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
 
 
 def gram_scores(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """(lang, gram, logp) of every distinct n-gram of the documents whose
-    language has a model: the longest seen ending, times the back-off weights
-    of the contexts above it."""
+    """(lang, gram, logp, contrast) of every distinct n-gram of the documents
+    whose language has a model: the longest seen ending, times the back-off
+    weights of the contexts above it; and by how much the toxic model's is over."""
     rows = _tallies(_languages(docs)).select("lang", "gram").distinct()
+    rows = rows.select(F.explode(F.array("lang", F.concat(F.lit(TOXIC), "lang"))).alias("lang"), "gram")
     rows = rows.join(F.broadcast(model[0][1].select("lang").distinct()), "lang", "left_semi")
     rows = materialize(rows.withColumn("weight", F.lit(1.0)), "kn-open")
     parts = []
@@ -188,16 +211,19 @@ def gram_scores(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> Da
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return materialize(out, "kn-scores")
+    out = materialize(out, "kn-logp")
+    toxic = out.where(F.col("lang").startswith(TOXIC)).select(F.expr("substring(lang, 2)").alias("lang"), "gram", F.col("logp").alias("other"))
+    own = out.where(~F.col("lang").startswith(TOXIC))
+    return materialize(own.join(toxic, ["lang", "gram"], "left").select("lang", "gram", "logp", (F.col("other") - F.col("logp")).alias("contrast")), "kn-scores")
 
 
 class Lookup:
-    """An open-addressing table from n-grams to log-probabilities."""
+    """An open-addressing table from n-grams to log-probabilities and contrasts."""
 
     def __init__(self, gram: np.ndarray, value: np.ndarray):
         self.bits = max(4, int(np.ceil(np.log2(2 * len(gram) + 1))))
         self.gram = np.full(1 << self.bits, -1, np.int64)
-        self.value = np.zeros(1 << self.bits, np.float32)
+        self.value = np.zeros((1 << self.bits, 2), np.float32)
         slot, left = self._slot(gram), np.arange(len(gram))
         while len(left):
             free = self.gram[slot[left]] == -1
@@ -212,8 +238,8 @@ class Lookup:
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def values(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each n-gram's value, 0 if the table lacks it, and whether it has it."""
-        out, met = np.zeros(len(gram), np.float32), np.zeros(len(gram), bool)
+        """Each n-gram's values, 0 if the table lacks it, and whether it has it."""
+        out, met = np.zeros((len(gram), 2), np.float32), np.zeros(len(gram), bool)
         slot, left = self._slot(gram), np.arange(len(gram))
         while len(left):
             at = self.gram[slot]
@@ -228,11 +254,12 @@ class Lookup:
 def perplexities(docs: DataFrame, scores: DataFrame) -> DataFrame:
     """doc_id, lang and perplexity of each document row."""
     rows = _languages(docs)
-    return judged(rows.withColumn("model", F.col("lang")), scores).drop("model")
+    return judged(rows.withColumn("model", F.col("lang")), scores).drop("model", "contrast")
 
 
 def judged(rows: DataFrame, scores: DataFrame) -> DataFrame:
-    """``rows`` with the perplexity of their texts under ``model``, without the texts.
+    """``rows`` with the perplexity and contrast of their texts under ``model``,
+    without the texts.
 
     A task goes once through its texts. It holds the n-grams of so many
     characters (``_CHUNK``) and one shard of the scores after the other."""
@@ -257,6 +284,7 @@ def judged(rows: DataFrame, scores: DataFrame) -> DataFrame:
         for batch in batches:
             models, texts = batch.column("model").to_pylist(), batch.column("text").to_pylist()
             found: list[float | None] = [None] * len(texts)
+            highest: list[float | None] = [None] * len(texts)
             for some in _chunks(texts):
                 by_model: dict[str, list[int]] = {}
                 for i in some:
@@ -264,7 +292,7 @@ def judged(rows: DataFrame, scores: DataFrame) -> DataFrame:
                         by_model.setdefault(models[i], []).append(i)
                 gram = {m: [grams(texts[i]) for i in of] for m, of in by_model.items()}
                 gram = {m: (np.concatenate(g), np.cumsum([0, *map(len, g)])) for m, g in gram.items()}
-                logp = {m: np.zeros(len(g), np.float64) for m, (g, _) in gram.items()}
+                logp = {m: np.zeros((len(g), 2), np.float64) for m, (g, _) in gram.items()}
                 met = {m: np.zeros(len(g), bool) for m, (g, _) in gram.items()}
                 for shard in range(shards):
                     for m, (g, _) in gram.items():
@@ -274,13 +302,18 @@ def judged(rows: DataFrame, scores: DataFrame) -> DataFrame:
                             met[m] |= has
                 for m, of in by_model.items():
                     ends = gram[m][1]
-                    total, n = np.add.reduceat(logp[m], ends[:-1]), np.add.reduceat(met[m], ends[:-1], dtype=np.int64)
+                    total, n = np.add.reduceat(logp[m][:, 0], ends[:-1]), np.add.reduceat(met[m], ends[:-1], dtype=np.int64)
                     for i, a, b in zip(of, total.tolist(), n.tolist(), strict=True):
                         found[i] = float(np.exp(-a / b)) if b else None
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*kept, "model")), pa.array(found, pa.float64())], names=[*kept, "model", "perplexity"])
+                    for i, a, b in zip(of, ends[:-1], ends[1:], strict=True):
+                        run_sum = np.concatenate(([0.0], np.cumsum(logp[m][a:b, 1])))
+                        most = (run_sum[WINDOW:] - run_sum[:-WINDOW]).max() if b - a > WINDOW else run_sum[-1]
+                        highest[i] = float(most) if found[i] is not None and not np.isnan(most) else None
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*kept, "model")), pa.array(found, pa.float64()), pa.array(highest, pa.float64())],
+                                             names=[*kept, "model", "perplexity", "contrast"])
 
     schema = ", ".join(f"{c} {t}" for c, t in rows.select(*kept, "model").dtypes)
-    return in_arrow(rows.select(*kept, "model", "text"), run, f"{schema}, perplexity double")
+    return in_arrow(rows.select(*kept, "model", "text"), run, f"{schema}, perplexity double, contrast double")
 
 
 def _chunks(texts: list):
@@ -300,14 +333,14 @@ def _columns(table: pa.Table, lang: str) -> tuple[np.ndarray, np.ndarray]:
     import pyarrow.compute as pc
 
     rows = table.filter(pc.equal(table.column("lang"), lang))
-    return rows.column("gram").to_numpy(), rows.column("logp").to_numpy().astype(np.float32)
+    return rows.column("gram").to_numpy(), np.stack([rows.column(c).to_numpy().astype(np.float32) for c in ("logp", "contrast")], axis=1)
 
 
 def _modelled(rows: DataFrame) -> DataFrame:
     """``rows`` with ``base``, the language whose models score them, or the pool.
     If a language needs the pool, trusted texts of the others are added to it
     once more, marked as ``extra``."""
-    texts = rows.groupBy("lang").agg(F.count(F.when(F.col("fold").isNotNull() & (F.length("text") > 0), 1)).alias("n"))
+    texts = rows.groupBy("lang").agg(F.count(F.when(~F.col("toxic") & (F.length("text") > 0), 1)).alias("n"))
     texts = materialize(texts.select("lang", (F.col("n") >= OWN_TEXTS).alias("own")), "languages")
     rows = rows.join(F.broadcast(texts), "lang")  # a row for each language
     out = rows.withColumn("base", F.when(F.col("own"), F.col("lang")).otherwise(POOLED)).withColumn("extra", F.lit(False))
@@ -319,7 +352,7 @@ def _modelled(rows: DataFrame) -> DataFrame:
 def thresholds(scored: DataFrame, measure: str) -> DataFrame:
     """base, lang, threshold of a measure, a logarithm, that trusted texts
     shouldn't be over; see the top of the module."""
-    trusted = F.col("fold").isNotNull()
+    trusted = F.coalesce(~F.col("toxic"), F.lit(False))
     quantile = lambda x, q: F.percentile_approx(x, F.lit(q), F.lit(10_000))
     rows = scored.where(F.col(measure).isNotNull() & (trusted | (F.col("base") == POOLED)))
     centers = materialize(rows.groupBy("base", "lang").agg(
@@ -335,12 +368,16 @@ def thresholds(scored: DataFrame, measure: str) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, lang, perplexity, threshold, accepted of every document row."""
+    """doc_id, lang, perplexity, threshold, contrast, contrast_threshold, accepted
+    of every document row."""
     rows = _modelled(materialize(marked(docs, labels), "marked"))
     by_model = rows.select("doc_id", "text", F.col("model").alias("lang"))
-    scores = gram_scores(by_model, train_marked(rows.select("text", F.col("base").alias("lang"), "fold")))
+    scores = gram_scores(by_model, train_marked(rows.select("text", F.col("base").alias("lang"), "fold", "toxic")))
     scored = materialize(judged(rows, scores).withColumn("surprise", F.log("perplexity")), "perplexities")
-    bars = thresholds(scored, "surprise")
-    out = scored.where("NOT extra").join(F.broadcast(bars), ["base", "lang"], "left")  # a row for each language
-    return out.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), "perplexity", F.exp("threshold").alias("threshold"),
-                      F.coalesce(F.col("surprise") <= F.col("threshold"), F.lit(True)).alias("accepted"))
+    out = scored.where("NOT extra")
+    for measure, name in (("surprise", "surprise_bar"), ("contrast", "contrast_threshold")):
+        bars = thresholds(scored, measure).withColumnRenamed("threshold", name)
+        out = out.join(F.broadcast(bars), ["base", "lang"], "left")  # a row for each language
+    below = [F.coalesce(F.col(x) <= F.col(y), F.lit(True)) for x, y in (("surprise", "surprise_bar"), ("contrast", "contrast_threshold"))]
+    return out.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), "perplexity", F.exp("surprise_bar").alias("threshold"),
+                      "contrast", "contrast_threshold", (below[0] & below[1]).alias("accepted"))

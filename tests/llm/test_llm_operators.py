@@ -341,6 +341,16 @@ def test_bad_texts_of_thin_languages_are_rejected(spark):
         assert np.mean([r["accepted"] for r in got if r["lang"] == lang and r["doc_id"] not in bad]) > 0.8, lang
 
 
+def test_toxic_documents_are_rejected(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_model.classify(docs, labels).join(labels, "doc_id").where("quality = 1").collect()
+    share = {k: n[False] / sum(n.values()) for k in {(r["lang"], r["toxic"]) for r in rows}
+             if (n := collections.Counter(r["accepted"] for r in rows if (r["lang"], r["toxic"]) == k))}
+    print(sorted(share.items()))
+    assert share["en", 1] > 0.9
+    assert all(share[lang, 0] < 0.03 for lang in ("en", "de", "fr", "es"))
+
+
 def test_contamination(spark, documents):
     items = spark.read.parquet(f"{SF}/benchmark.parquet").unionByName(spark.createDataFrame([(900, "The OF"), (901, "..."), (902, None), (903, "École é")], "item_id long, text string"))
     docs = documents.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, "the of the of École é école é"), (-2, None)], "doc_id long, text string"))
