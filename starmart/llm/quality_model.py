@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import in_arrow, materialize
+from starmart.llm.common import discard, in_arrow, materialize
 
 ORDER = 5
 BITS = 12
@@ -186,6 +186,7 @@ def train_marked(rows: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
             seen = (seen.join(below, (F.col("lang") == F.col("l")) & (low == F.col("low")))
                     .select("lang", "gram", (F.col("own") + F.col("back") * F.col("q")).alias("p")))
         out.append((materialize(seen, "kn-seen"), materialize(contexts.select("lang", "context", "back"), "kn-back")))
+        discard(counts[n])
     return out
 
 
@@ -197,12 +198,13 @@ def gram_scores(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> Da
     rows = rows.select(F.explode(F.array("lang", F.concat(F.lit(TOXIC), "lang"))).alias("lang"), "gram")
     rows = rows.join(F.broadcast(model[0][1].select("lang").distinct()), "lang", "left_semi")
     rows = materialize(rows.withColumn("weight", F.lit(1.0)), "kn-open")
-    parts = []
+    parts, held = [], [rows]
     for n in range(ORDER, 0, -1):
         seen, back = model[n - 1]
         low = F.col("gram").bitwiseAND(F.lit((1 << BITS * n) - 1))
         seen = seen.select(F.col("lang").alias("l"), F.col("gram").alias("low"), "p")
         tried = materialize(rows.join(seen, (F.col("lang") == F.col("l")) & (low == F.col("low")), "left").select("lang", "gram", "weight", "p"), "kn-tried")
+        held.append(tried)
         parts.append(tried.where("p IS NOT NULL").select("lang", "gram", F.log(F.greatest(F.col("weight") * F.col("p"), F.lit(LEAST_P))).alias("logp")))
         back = back.select(F.col("lang").alias("l"), F.col("context").alias("c"), "back")
         rows = (tried.where("p IS NULL").join(back, (F.col("lang") == F.col("l")) & (F.shiftright(low, BITS) == F.col("c")), "left")
@@ -212,9 +214,12 @@ def gram_scores(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> Da
     for part in parts[1:]:
         out = out.unionByName(part)
     out = materialize(out, "kn-logp")
+    discard(*held)
     toxic = out.where(F.col("lang").startswith(TOXIC)).select(F.expr("substring(lang, 2)").alias("lang"), "gram", F.col("logp").alias("other"))
     own = out.where(~F.col("lang").startswith(TOXIC))
-    return materialize(own.join(toxic, ["lang", "gram"], "left").select("lang", "gram", "logp", (F.col("other") - F.col("logp")).alias("contrast")), "kn-scores")
+    scores = materialize(own.join(toxic, ["lang", "gram"], "left").select("lang", "gram", "logp", (F.col("other") - F.col("logp")).alias("contrast")), "kn-scores")
+    discard(out)
+    return scores
 
 
 class Lookup:
@@ -372,7 +377,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     of every document row."""
     rows = _modelled(materialize(marked(docs, labels), "marked"))
     by_model = rows.select("doc_id", "text", F.col("model").alias("lang"))
-    scores = gram_scores(by_model, train_marked(rows.select("text", F.col("base").alias("lang"), "fold", "toxic")))
+    model = train_marked(rows.select("text", F.col("base").alias("lang"), "fold", "toxic"))
+    scores = gram_scores(by_model, model)
+    discard(*(table for order in model for table in order))
     scored = materialize(judged(rows, scores).withColumn("surprise", F.log("perplexity")), "perplexities")
     out = scored.where("NOT extra")
     for measure, name in (("surprise", "surprise_bar"), ("contrast", "contrast_threshold")):
