@@ -19,11 +19,13 @@ from starmart.llm import (
     secret_scan,
     sentence_pieces,
     shingle_join,
+    token_alignment,
 )
 from starmart.llm.common import read_table
 
 PIECES = "piece_bpe_32k.model"
 RANKS = "byte_bpe_50k.tiktoken"
+BYTE_TOKENS = "byte_bpe_50k.json"
 #: Word n-grams and similarity of the join, the repeat and benchmark windows.
 JOIN_WORDS, JOIN_SHARE = 4, (85, 100)
 REPEAT_WORDS = 50
@@ -83,6 +85,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_digests(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENS), tokenizer_path(PIECES))
+
+
 def queries() -> dict:
     return {
         "op1_chat_format": chat,
@@ -95,6 +101,7 @@ def queries() -> dict:
         "op8_sentencepiece": pieces,
         "op9_quality_classifier": quality,
         "op10_decontamination": benchmark,
+        "op11_token_alignment": alignment,
     }
 
 
