@@ -38,8 +38,8 @@ from pyspark.sql import types as T
 from starmart.llm.common import in_arrow, lists, materialize
 
 #: Bytes of text in a pack, and products a block of rows.
-PACK_BYTES = 4 << 20
-BLOCK = 1 << 20
+PACK_BYTES = 1 << 20
+BLOCK = 1 << 18
 #: Words of the byte-level pre-tokenizer, as its library states them.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
