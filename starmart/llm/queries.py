@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm import (
     chat_format,
+    collocations,
     decontaminate,
     html_extract,
     license_scan,
@@ -89,6 +90,10 @@ def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment_digests(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENS), tokenizer_path(PIECES))
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_chat_format": chat,
@@ -102,6 +107,7 @@ def queries() -> dict:
         "op9_quality_classifier": quality,
         "op10_decontamination": benchmark,
         "op11_token_alignment": alignment,
+        "op12_collocations": phrases,
     }
 
 
@@ -183,10 +189,40 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN of USING (doc_id)
 """
 
 
+COLLOCATIONS_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM docs
+), freq AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k AS words, count(*)::HUGEINT AS a
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) v(k)) GROUP BY ALL
+), sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM freq WHERE words = 1 GROUP BY lang
+), cand AS (SELECT *, string_split(phrase, ' ') AS p FROM freq WHERE words > 1 AND a >= 10
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(p[1:k], ' ') AS lp, array_to_string(p[k + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM cand)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, (1000000 * c.a * c.a) // (l.a * r.a) AS score
+  FROM cuts c JOIN freq l ON l.lang = c.lang AND l.phrase = c.lp JOIN freq r ON r.lang = c.lang AND r.phrase = c.rp
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(p[i:i + 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest([1, 2]) AS i FROM cand WHERE words = 3) GROUP BY ALL
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN inside i ON s.lang = i.lang AND s.phrase = i.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_format": CHAT_SQL,
         "op5_ngram_jaccard_join": JACCARD_SQL,
         "op7_substring_dedup": REPEATS_SQL,
         "op10_decontamination": BENCHMARK_SQL,
+        "op12_collocations": COLLOCATIONS_SQL,
     }
