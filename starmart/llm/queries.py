@@ -20,6 +20,7 @@ from starmart.llm import (
     secret_scan,
     sentence_pieces,
     shingle_join,
+    suffix_spans,
     token_alignment,
 )
 from starmart.llm.common import read_table
@@ -30,6 +31,7 @@ BYTE_TOKENS = "byte_bpe_50k.json"
 #: Word n-grams and similarity of the join, the repeat and benchmark windows.
 JOIN_WORDS, JOIN_SHARE = 4, (85, 100)
 REPEAT_WORDS = 50
+REPEAT_BYTES = 50
 BENCHMARK_WORDS = 10
 
 
@@ -94,6 +96,10 @@ def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
 
 
+def byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_spans.remove_repeated_bytes(read_table(spark, sf_dir, "documents"), REPEAT_BYTES, kept=False)
+
+
 def queries() -> dict:
     return {
         "op1_chat_format": chat,
@@ -108,6 +114,7 @@ def queries() -> dict:
         "op10_decontamination": benchmark,
         "op11_token_alignment": alignment,
         "op12_collocations": phrases,
+        "op13_suffix_dedup": byte_repeats,
     }
 
 
@@ -218,6 +225,28 @@ FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
 """
 
 
+SUFFIX_SQL = r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM docs)
+), first AS (SELECT s, min(doc_id) AS d FROM windows GROUP BY s
+), hit AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM windows JOIN first USING (s) WHERE doc_id > d
+), numbered AS (
+  SELECT doc_id, i, count(*) FILTER (p IS NULL OR i > p + 50) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM hit
+), spans AS (SELECT doc_id, min(i) AS b, max(i) + 50 AS e FROM numbered GROUP BY doc_id, g
+), gaps AS (SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS k FROM spans
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * k + 1, 2 * (b - k)), '' ORDER BY b) || substr(any_value(h), 2 * max(e) + 1) AS t,
+    sum(e - b) AS n, count(*) AS c
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(c, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(t, h))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_format": CHAT_SQL,
@@ -225,4 +254,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_substring_dedup": REPEATS_SQL,
         "op10_decontamination": BENCHMARK_SQL,
         "op12_collocations": COLLOCATIONS_SQL,
+        "op13_suffix_dedup": SUFFIX_SQL,
     }
