@@ -218,6 +218,15 @@ class Bucket:
         return np.concatenate((before[:, :offset][:, ::-1], after[:, :after.shape[1] - offset]), axis=1)
 
 
+def _squeezed(data: bytes) -> bytes:
+    """Compressed bytes; shuffles and scratch tables carry these."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _opened(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 _PACKS = "chunk long, doc_id array<long>, size array<int>, data binary"
 
 
@@ -236,7 +245,7 @@ def _packed(docs: DataFrame) -> DataFrame:
                 ids = batch.column(0).slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([chunk], pa.int64()), pa.ListArray.from_arrays(pa.array([0, last - first], pa.int32()), ids),
-                    lists([np.array([len(t) for t in part])], pa.int32()), pa.array([b"".join(part)], pa.binary())],
+                    lists([np.array([len(t) for t in part])], pa.int32()), pa.array([_squeezed(b"".join(part))], pa.binary())],
                     names=["chunk", "doc_id", "size", "data"])
                 chunk, first = chunk + 1, last
 
@@ -248,7 +257,7 @@ class Pack:
 
     def __init__(self, shape: Shape, row: dict, shards: int):
         self.shape, self.shards, self.chunk = shape, shards, row["chunk"]
-        self.data = np.frombuffer(row["data"], np.uint8)
+        self.data = np.frombuffer(_opened(row["data"]), np.uint8)
         self.ends = np.cumsum(np.array(row["size"], np.int64))
         self.ids = row["doc_id"]
         self.own = np.array([i is not None for i in self.ids], bool)
@@ -380,11 +389,11 @@ def _found(rows: DataFrame, shape: Shape, shards: int, splitters: list[bytes]) -
             part = [(i, records[a:b]) for i, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if a < b]
             yield pa.RecordBatch.from_arrays([
                 pa.array([i for i, _ in part], pa.int32()), pa.array([row["chunk"]] * len(part), pa.int64()),
-                pa.array([r.tobytes() for _, r in part], pa.binary())], names=["bucket", "chunk", "records"])
+                pa.array([_squeezed(r.tobytes()) for _, r in part], pa.binary())], names=["bucket", "chunk", "records"])
 
     def sort(table: pa.Table) -> pa.Table:
         i = table.column("bucket")[0].as_py()
-        own = [np.frombuffer(r, shape.record) for r in table.column("records").to_pylist()]
+        own = [np.frombuffer(_opened(r), shape.record) for r in table.column("records").to_pylist()]
         records = np.concatenate(own)
         chunk = np.repeat(table.column("chunk").to_numpy(), [len(r) for r in own])
         bucket = Bucket(shape, records, splitters[i - 1] if i else None, splitters[i] if i < len(splitters) else None)
@@ -415,7 +424,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 50, anchor: int = 20, k
     if shape.before > 63:
         raise ValueError("window - anchor is at most 63")
     packs = materialize(_packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "suffix-packs")
-    n_packs, n_bytes = packs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()
+    n_packs, n_bytes = packs.agg(F.count("*"), F.coalesce(F.sum(F.expr("aggregate(size, 0L, (s, x) -> s + x)")), F.lit(0))).first()
     shards = max(1, -(-n_bytes // SHARD_BYTES))
     bits = materialize(_shared_prints(packs, shape, shards), "suffix-shared")
     rows = _with(packs, bits)
