@@ -1,13 +1,14 @@
 """Phrase collocations, counted in burstable tries.
 
-A task counts all phrases of up to ``max_words`` words in a trie over word
-numbers (a HAT-trie): below each first word stands one hash container, from
-the rest of the phrase to its count, which bursts into containers by the
-second word when it grows. At a bound on its entries the task spills its
-largest subtrees whole, each as a run of rows sorted by phrase. Spark merges
-the runs: sampled splitters cut the phrases into ranges of prefixes, and a
-range's equal phrases are summed. A phrase stands once in a run, so no range
-is hot, and a prefix that many phrases share is cut like any other.
+A task counts all phrases of up to ``max_words`` words in a HAT-trie over word
+numbers. Its leaves are hash containers, each for a range of prefixes: at first
+one holds everything; a container that grows too large bursts in two at a first
+word, or, where it holds a single first word, at a second word, and so on. At a
+bound on its entries the task spills its largest containers, whole subtrees, as
+runs sorted by phrase. Sampled splitters cut the order of phrases into prefix
+partitions, each run goes there in compressed slices, and a partition adds up
+equal phrases. A phrase stands once in a run, so no partition is hot, and a
+prefix that many phrases share is cut like any other.
 
 Every cut of a frequent phrase needs the counts of its two parts, which are
 frequent themselves, so only frequent phrases are joined. Parts that a
@@ -23,21 +24,28 @@ occurs less than 10**16 times; beyond that the query fails.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import in_arrow, materialize, runs
+from starmart.llm.common import in_arrow, materialize, mix, runs
 
 NO_LANGUAGE = "und"
 #: Bytes of texts and tokens counted at once, entries a task holds, and entries
 #: of a container before it bursts.
-BLOCK_BYTES, BLOCK_TOKENS, HELD_ENTRIES, CONTAINER_ENTRIES = 2 << 20, 500_000, 1_500_000, 1 << 14
+BLOCK_BYTES, BLOCK_TOKENS, HELD_ENTRIES, CONTAINER_ENTRIES = 2 << 20, 500_000, 3_000_000, 1 << 17
+#: Bytes of text a prefix partition, bytes of text that the splitters are sampled
+#: from (about), and sampled phrases a partition (about).
+PART_BYTES, SAMPLE_BYTES, SAMPLES = 2 << 20, 16 << 20, 16
 #: A part is hot from this share of all cuts on; hot parts are dealt over SALTS.
 HOT_SHARE, SALTS = 1000, 64
 _CUTS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 _PIECE_END, _NOTHING = 0, 1
+_FREE = np.int64(-1)
 
 
 class Words(dict):
@@ -53,74 +61,103 @@ class Words(dict):
         return n
 
 
+class Container:
+    """A hash table from packed phrases to counts, filled in batches."""
+
+    def __init__(self, room: int = 1 << 10):
+        self.size = 0
+        self.keys, self.counts = np.full(room, _FREE, np.int64), np.zeros(room, np.int64)
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        used = np.flatnonzero(self.keys != _FREE)
+        return self.keys[used], self.counts[used]
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Add distinct phrases. All look at their slot at once; those that find
+        another phrase there, or lose a free slot to one, go on to the next."""
+        room = len(self.keys)
+        if 2 * (self.size + len(keys)) > room:
+            old = self.items()
+            while 2 * (self.size + len(keys)) > room:
+                room *= 2
+            self.__init__(room)
+            self.add(*old)
+        slot = (mix(keys.view(np.uint64)) & np.uint64(room - 1)).astype(np.int64)
+        while len(keys):
+            there = self.keys[slot]
+            free = there == _FREE
+            self.keys[slot[free]] = keys[free]
+            own = self.keys[slot] == keys
+            self.counts[slot[own]] += counts[own]
+            self.size += int(np.count_nonzero(own & free))
+            keys, counts, slot = keys[~own], counts[~own], (slot[~own] + 1) & (room - 1)
+
+
 class PhraseTrie:
     """Counts of phrases of word numbers, packed ``bits`` a word into an integer
     with the first word on top; shorter phrases end in zeros."""
 
     def __init__(self, max_words: int, bits: int, container: int = CONTAINER_ENTRIES):
-        self.max_words, self.bits, self.container = max_words, bits, container
-        #: first word -> {rest: count}, or {second word: {rest: count}} once burst
-        self.nodes: dict[int, dict] = {}
-        self.burst: set[int] = set()
-        self.sizes: dict[int, int] = {}
-        self.entries = 0
+        self.container = container
+        self.shifts = [bits * k for k in range(max_words - 1, -1, -1)]
+        #: each container's least prefix, in order
+        self.low, self.leaves = [0], [Container()]
+
+    @property
+    def entries(self) -> int:
+        return sum(c.size for c in self.leaves)
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Add sorted distinct phrases."""
-        shift = self.bits * (self.max_words - 1)
-        first = keys >> shift
-        rest = (keys & ((1 << shift) - 1)).tolist()
-        counts = counts.tolist()
-        for s, e in zip(*(x.tolist() for x in runs(first)), strict=True):
-            self._extend(int(first[s]), rest[s:e], counts[s:e])
-
-    def _extend(self, word: int, rest: list[int], counts: list[int]) -> None:
-        node = self.nodes.setdefault(word, {})
-        below = self.bits * (self.max_words - 2)
-        if word in self.burst:
-            size = 0
-            for r, n in zip(rest, counts, strict=True):
-                table = node.get(r >> below)
-                if table is None:
-                    table = node[r >> below] = {}
-                old = table.get(r)
-                size += old is None
-                table[r] = n if old is None else old + n
-        else:
-            size = -len(node)
-            for r, n in zip(rest, counts, strict=True):
-                node[r] = node.get(r, 0) + n
-            size += len(node)
-            if len(node) > self.container and self.max_words > 2:
-                split: dict[int, dict] = {}
-                for r, n in node.items():
-                    split.setdefault(r >> below, {})[r] = n
-                self.nodes[word] = split
-                self.burst.add(word)
-        self.sizes[word] = self.sizes.get(word, 0) + size
-        self.entries += size
-
-    def take(self, word: int) -> list[tuple[int, int]]:
-        """The whole subtree of a first word, which goes."""
-        node = self.nodes.pop(word)
-        self.entries -= self.sizes.pop(word)
-        if word in self.burst:
-            self.burst.discard(word)
-            items = [item for table in node.values() for item in table.items()]
-        else:
-            items = list(node.items())
-        top = word << (self.bits * (self.max_words - 1))
-        return [(top | r, n) for r, n in items]
-
-    def largest(self, entries: int) -> list[int]:
-        """First words of the largest subtrees that hold ``entries`` together."""
+        ends = [*np.searchsorted(keys, self.low[1:]).tolist(), len(keys)]
+        full, start = [], 0
+        for i, end in enumerate(ends):
+            if start < end:
+                self.leaves[i].add(keys[start:end], counts[start:end])
+                if self.leaves[i].size > self.container:
+                    full.append(i)
+            start = end
+        for i in reversed(full):
+            self._burst(i)
+
+    def _burst(self, i: int) -> None:
+        """Cut a container at the first word near its middle, or, if all its
+        phrases share that, at the next word; again while a part is too large."""
+        keys, counts = self.leaves[i].items()
+        order = np.argsort(keys)
+        todo, low, leaves = [(keys[order], counts[order], self.low[i])], [], []
+        while todo:
+            keys, counts, least = todo.pop()
+            cut = self._cut(keys) if len(keys) > self.container else None
+            if cut is None:
+                leaf = Container()
+                leaf.add(keys, counts)
+                low.append(least)
+                leaves.append(leaf)
+            else:
+                at = int(np.searchsorted(keys, cut))
+                todo += [(keys[at:], counts[at:], cut), (keys[:at], counts[:at], least)]
+        self.low[i:i + 1], self.leaves[i:i + 1] = low, leaves
+
+    def _cut(self, keys: np.ndarray) -> int | None:
+        middle = int(keys[len(keys) // 2])
+        for shift in self.shifts:
+            own = middle >> shift << shift
+            for cut in (own, own + (1 << shift)):
+                if keys[0] < cut <= keys[-1]:
+                    return cut
+        return None
+
+    def take(self, entries: int) -> tuple[np.ndarray, np.ndarray]:
+        """The largest containers, ``entries`` or more together; they go."""
         out = []
-        for word in sorted(self.sizes, key=self.sizes.get, reverse=True):
+        for i in sorted(range(len(self.leaves)), key=lambda i: -self.leaves[i].size):
             if entries <= 0:
                 break
-            out.append(word)
-            entries -= self.sizes[word]
-        return out
+            entries -= self.leaves[i].size
+            out.append(self.leaves[i].items())
+            self.leaves[i] = Container()
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
 
 
 class PhraseCounter:
@@ -129,8 +166,10 @@ class PhraseCounter:
     def __init__(self, max_words: int, held: int = HELD_ENTRIES, container: int = CONTAINER_ENTRIES):
         self.max_words, self.held, self.container = max_words, held, container
         self.bits = 63 // max_words
+        self.shifts = [self.bits * k for k in range(max_words - 1, -1, -1)]
         self.words = Words()
         self.tries: dict[str, PhraseTrie] = {}
+        self.sorted: tuple[int, list[bytes], np.ndarray] = (0, [], np.empty(0, np.int64))
 
     def blocks(self, data: bytes):
         """(tokens, number of them that start a phrase): runs of the words of
@@ -173,75 +212,148 @@ class PhraseCounter:
             yield from self._relieve()
 
     def _relieve(self):
-        """Spill the largest subtrees while there are too many entries."""
+        """Spill the largest containers while there are too many entries."""
         over = sum(t.entries for t in self.tries.values()) - self.held
         if over > 0:
             over += self.held // 2
-            for name, t in sorted(self.tries.items(), key=lambda x: -x[1].entries):
-                gone = min(over, t.entries)
-                for word in t.largest(gone):
-                    over -= t.sizes[word]
-                    yield self.run(name, t.take(word))
+            for lang, t in sorted(self.tries.items(), key=lambda x: -x[1].entries):
                 if over <= 0:
                     break
+                keys, counts = t.take(over)
+                over -= len(keys)
+                yield self.run(lang, keys, counts)
 
     def finish(self):
-        for name, t in self.tries.items():
-            for word in list(t.nodes):
-                yield self.run(name, t.take(word))
+        for lang, t in self.tries.items():
+            if t.entries:
+                yield self.run(lang, *t.take(t.entries))
         self.tries.clear()
         self.words = Words()
 
-    def run(self, lang: str, items: list[tuple[int, int]]):
-        """(language, phrases, words of each, counts), sorted by phrase."""
+    def ranks(self) -> tuple[list[bytes], np.ndarray]:
+        """The words in order, and the place of each word number in it, from 1."""
         spelled = self.words.spelled
-        mask, shifts = (1 << self.bits) - 1, [self.bits * k for k in range(self.max_words - 1, -1, -1)]
-        rows = []
-        for key, n in items:
-            numbers = [p for p in (key >> s & mask for s in shifts) if p]
-            rows.append((b" ".join([spelled[p] for p in numbers]), len(numbers), n))
-        rows.sort()
-        return lang, rows
+        if self.sorted[0] is not spelled or len(self.sorted[2]) != len(spelled):
+            order = sorted(range(2, len(spelled)), key=spelled.__getitem__)
+            rank = np.zeros(len(spelled), np.int64)
+            rank[order] = np.arange(1, len(order) + 1)
+            self.sorted = (spelled, [spelled[i] for i in order], rank)
+        return self.sorted[1:]
+
+    def run(self, lang: str, keys: np.ndarray, counts: np.ndarray) -> "Run":
+        words, rank = self.ranks()
+        mask, ranked = (1 << self.bits) - 1, np.zeros(len(keys), np.int64)
+        for s in self.shifts:
+            ranked |= rank[keys >> s & mask] << s
+        order = np.argsort(ranked)
+        return Run(lang, words, ranked[order], counts[order], self.shifts, mask)
+
+
+class Run:
+    """Phrases in the order of their words, with counts."""
+
+    def __init__(self, lang: str, words: list[bytes], keys: np.ndarray, counts: np.ndarray, shifts: list[int], mask: int):
+        self.lang, self.words, self.keys, self.counts, self.shifts, self.mask = lang, words, keys, counts, shifts, mask
+
+    def least_key(self, phrase: list[bytes]) -> int:
+        """Where a phrase stands, or would stand, among the keys."""
+        key = 0
+        for shift, word in zip(self.shifts, phrase, strict=False):
+            at = bisect_left(self.words, word)
+            key |= at + 1 << shift
+            if at == len(self.words) or self.words[at] != word:
+                break
+        return key
+
+    def phrase(self, i: int) -> list[bytes]:
+        return [self.words[p - 1] for p in (int(self.keys[i]) >> s & self.mask for s in self.shifts) if p]
+
+    def table(self, start: int, end: int) -> pa.Table:
+        part = [self.keys[start:end] >> s & self.mask for s in self.shifts]
+        known = pa.array(self.words, pa.binary())
+        spelled = [known.take(pa.array(p - 1, mask=p == 0)) for p in part]
+        phrase = pc.binary_join_element_wise(*spelled, pa.scalar(b" ", pa.binary()), null_handling="skip") if len(part) > 1 else spelled[0]
+        return pa.table({"lang": pa.array([self.lang] * (end - start), pa.string()).dictionary_encode(), "phrase": phrase,
+                         "words": pa.array(sum((p > 0).astype(np.int32) for p in part), pa.int32()), "n": pa.array(self.counts[start:end], pa.int64())})
+
+    def slices(self, splitters: list[tuple[str, list[bytes]]]):
+        """(prefix partition, rows) of the run."""
+        own = bisect_left(splitters, self.lang, key=lambda x: x[0]), bisect_right(splitters, self.lang, key=lambda x: x[0])
+        cuts = np.searchsorted(self.keys, [self.least_key(p) for _, p in splitters[slice(*own)]]).tolist()
+        whole = self.table(0, len(self.keys))
+        for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(self.keys)], strict=True)):
+            if a < b:
+                yield own[0] + i, whole.slice(a, b - a)
+
+
+def _packed_slice(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _counted(batches, counter: PhraseCounter):
+    """The runs of all texts of (language, text) batches."""
+    for batch in batches:
+        texts: dict[str, list[bytes]] = {}
+        size: dict[str, int] = {}
+        for lang, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if not value:
+                continue
+            texts.setdefault(lang, []).append(value.encode())
+            size[lang] = size.get(lang, 0) + len(texts[lang][-1])
+            if size[lang] > BLOCK_BYTES:
+                yield from counter.add(lang, b"\n".join(texts.pop(lang)))
+                size[lang] = 0
+        for lang, group in texts.items():
+            yield from counter.add(lang, b"\n".join(group))
+    yield from counter.finish()
+
+
+def _splitters(rows: DataFrame, max_words: int, n_bytes: int, parts: int) -> list[tuple[str, list[bytes]]]:
+    """Phrases that cut the order of phrases into even partitions: from a sample
+    of one text in ``every`` (by hash), about SAMPLES phrases a partition."""
+    if parts < 2:
+        return []
+    every = max(1, n_bytes // SAMPLE_BYTES)
+    step = max(1, n_bytes // every // (4 * SAMPLES * parts))
+
+    def run(batches):
+        for found in _counted(batches, PhraseCounter(max_words)):
+            picked = [found.phrase(i) for i in range(step // 2, len(found.keys), step)]
+            yield pa.RecordBatch.from_arrays([pa.array([found.lang] * len(picked), pa.string()), pa.array(picked, pa.list_(pa.binary()))], names=["lang", "words"])
 
+    sample = in_arrow(rows.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0), run, "lang string, words array<binary>").collect()
+    keys = sorted((r["lang"], [bytes(w) for w in r["words"]]) for r in sample)
+    parts = min(parts, len(keys))
+    cuts = [keys[len(keys) * i // parts] for i in range(1, parts)]
+    return [c for i, c in enumerate(cuts) if not i or c != cuts[i - 1]]
 
-def phrase_runs(docs: DataFrame, max_words: int, lang: str = "lang", text: str = "text", held: int = HELD_ENTRIES) -> DataFrame:
-    """lang, phrase, words, n: sorted runs of phrase counts from every task."""
+
+def phrase_counts(docs: DataFrame, max_words: int, least: int, lang: str = "lang", text: str = "text", held: int = HELD_ENTRIES) -> DataFrame:
+    """lang, phrase, words, a: the phrases that occur ``least`` times or more,
+    and rows without a phrase whose ``a`` add up to the words of a language."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text).alias("text"))
-    schema = "lang string, phrase string, words int, n long"
+    n_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    splitters = _splitters(rows, max_words, n_bytes, -(-n_bytes // PART_BYTES))
 
     def run(batches):
-        counter = PhraseCounter(max_words, held)
-        waiting: list[tuple[str, list]] = []
-
-        def batches_of(found, least):
-            waiting.extend(found)
-            if waiting and sum(len(r) for _, r in waiting) >= least:
-                flat = [r for _, rows in waiting for r in rows]
-                names = [name for name, rows in waiting for _ in rows]
-                waiting.clear()
-                for at in range(0, len(flat), 50_000):
-                    part = flat[at:at + 50_000]
-                    phrase, words, n = zip(*part, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(names[at:at + 50_000]), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(words, pa.int32()), pa.array(n, pa.int64())],
-                        names=["lang", "phrase", "words", "n"])
-
-        for batch in batches:
-            texts: dict[str, list[bytes]] = {}
-            size: dict[str, int] = {}
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not value:
-                    continue
-                texts.setdefault(name, []).append(value.encode())
-                size[name] = size.get(name, 0) + len(texts[name][-1])
-                if size[name] > BLOCK_BYTES:
-                    yield from batches_of(counter.add(name, b"\n".join(texts.pop(name))), 50_000)
-                    size[name] = 0
-            for name, group in texts.items():
-                yield from batches_of(counter.add(name, b"\n".join(group)), 50_000)
-        yield from batches_of(counter.finish(), 1)
-
-    return in_arrow(rows, run, schema)
+        for found in _counted(batches, PhraseCounter(max_words, held)):
+            part = [(p, _packed_slice(t)) for p, t in found.slices(splitters)]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in part], pa.int32()), pa.array([b for _, b in part], pa.binary())], names=["part", "run"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        own = [pa.ipc.open_stream(r.as_buffer()).read_all() for r in table.column("run").combine_chunks()]
+        whole = pa.concat_tables([t.set_column(0, "lang", t.column("lang").cast(pa.string())) for t in own])
+        totals = whole.filter(pc.equal(whole.column("words"), 1)).group_by("lang").aggregate([("n", "sum")])
+        found = whole.group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
+        found = found.filter(pc.greater_equal(found.column("n_sum"), least))
+        out = pa.table({"lang": found.column("lang"), "phrase": found.column("phrase").cast(pa.string()), "words": found.column("words"), "a": found.column("n_sum")})
+        n = len(totals)
+        return pa.concat_tables([out, pa.table({"lang": totals.column("lang"), "phrase": pa.nulls(n, pa.string()), "words": pa.array([0] * n, pa.int32()), "a": totals.column("n_sum")})])
+
+    return in_arrow(rows, run, "part int, run binary").groupBy("part").applyInArrow(merge, "lang string, phrase string, words int, a long")
 
 
 def _lookups(candidates: DataFrame, frequent: DataFrame, max_words: int) -> DataFrame:
@@ -270,10 +382,9 @@ def collocations(docs: DataFrame, max_words: int = 3, least: int = 10, top: int
     ``least`` is the fewest occurrences; a phrase goes when a longer one that
     holds it has ``inside_share`` per cent of its occurrences or more.
     """
-    spilled = materialize(phrase_runs(docs, max_words, lang, text, held), "collocation-runs")
-    sizes = spilled.where("words = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    merged = spilled.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("a"))
-    frequent = materialize(merged.where(F.col("a") >= least), "collocation-counts")
+    counted = materialize(phrase_counts(docs, max_words, least, lang, text, held), "collocation-counts")
+    sizes = counted.where("words = 0").groupBy("lang").agg(F.sum("a").alias("n"))
+    frequent = counted.where("words > 0")
     candidates = frequent.where("words > 1")
 
     wide = [F.col(c).cast("decimal(38,0)") for c in ("a", "a", "l", "r")]

@@ -1,9 +1,11 @@
 """Collocations against brute force; tries, spills and long texts."""
 
+import bisect
 import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 pytest.importorskip("starmart.llm")
@@ -83,14 +85,35 @@ def test_runs_add_up_whatever_spills(texts, monkeypatch, held, container, block)
     for text, lang in texts:
         runs += list(counter.add(lang or "und", (text or "").encode()))
     runs += list(counter.finish())
-    for lang, rows in runs:
-        assert rows == sorted(rows) and len({p.split(b" ")[0] for p, _, _ in rows}) == 1
-        for phrase, words, n in rows:
-            assert phrase.count(b" ") == words - 1
-            got[lang, tuple(phrase.decode().split(" "))] += n
+    splitters = sorted({(r.lang, tuple(r.phrase(i))) for r in runs for i in range(0, len(r.keys), 9)} | {("en", (b"w", b"zz")), ("aa", (b"x",)), ("zzz", (b"y",))})
+    for run in runs:
+        phrases = [tuple(run.phrase(i)) for i in range(len(run.keys))]
+        assert phrases == sorted(phrases) and len(set(phrases)) == len(phrases)
+        found = [(part, r["phrase"], r["words"], r["n"]) for part, table in run.slices([(lang, list(p)) for lang, p in splitters]) for r in table.to_pylist()]
+        assert [(b" ".join(p), len(p)) for p in phrases] == [f[1:3] for f in found]
+        assert [bisect.bisect_right(splitters, (run.lang, p)) for p in phrases] == [f[0] for f in found]
+        for p, f in zip(phrases, found, strict=True):
+            got[run.lang, tuple(w.decode() for w in p)] += f[3]
     assert got == counts(texts, 3)
 
 
+def test_containers_hold_what_a_dict_holds():
+    rng = np.random.default_rng(4)
+    table, held = co.Container(4), collections.Counter()
+    for _ in range(50):
+        keys, n = np.unique(rng.integers(0, 3000, 200), return_counts=True)
+        table.add(keys, n)
+        held.update(dict(zip(keys.tolist(), n.tolist(), strict=True)))
+    keys, n = table.items()
+    assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == held and table.size == len(held)
+
+
+def test_many_partitions(spark, texts, monkeypatch):
+    monkeypatch.setattr(co, "PART_BYTES", 500)
+    monkeypatch.setattr(co, "SAMPLE_BYTES", 10_000)
+    assert rows_of(frame_of(spark, texts)) == brute(texts)
+
+
 def test_products_beyond_64_bits(spark):
     rows = [(a, l, r) for a, l, r in ((10**15, 10**15, 10**15), (10**15 - 1, 10**15 + 7, 10**15 + 9), (123456789012345, 223456789012345, 323456789012345), (3, 7, 11))]
     frame = spark.createDataFrame(rows, "a long, l long, r long").selectExpr(
