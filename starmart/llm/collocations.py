@@ -37,7 +37,9 @@ from starmart.llm.common import in_arrow, materialize, mix, runs
 NO_LANGUAGE = "und"
 #: Bytes of texts and tokens counted at once, entries a task holds, and entries
 #: of a container before it bursts.
-BLOCK_BYTES, BLOCK_TOKENS, HELD_ENTRIES, CONTAINER_ENTRIES = 2 << 20, 500_000, 3_000_000, 1 << 17
+BLOCK_BYTES, BLOCK_TOKENS, HELD_ENTRIES, CONTAINER_ENTRIES = 2 << 20, 250_000, 1_000_000, 1 << 16
+#: Rows of a run in one compressed slice at most.
+SLICE_ROWS = 200_000
 #: Bytes of text a prefix partition, bytes of text that the splitters are sampled
 #: from (about), and sampled phrases a partition (about).
 PART_BYTES, SAMPLE_BYTES, SAMPLES = 2 << 20, 16 << 20, 16
@@ -254,6 +256,7 @@ class Run:
 
     def __init__(self, lang: str, words: list[bytes], keys: np.ndarray, counts: np.ndarray, shifts: list[int], mask: int):
         self.lang, self.words, self.keys, self.counts, self.shifts, self.mask = lang, words, keys, counts, shifts, mask
+        self.known = pa.array(words, pa.binary())
 
     def least_key(self, phrase: list[bytes]) -> int:
         """Where a phrase stands, or would stand, among the keys."""
@@ -270,20 +273,18 @@ class Run:
 
     def table(self, start: int, end: int) -> pa.Table:
         part = [self.keys[start:end] >> s & self.mask for s in self.shifts]
-        known = pa.array(self.words, pa.binary())
-        spelled = [known.take(pa.array(p - 1, mask=p == 0)) for p in part]
+        spelled = [self.known.take(pa.array(p - 1, mask=p == 0)) for p in part]
         phrase = pc.binary_join_element_wise(*spelled, pa.scalar(b" ", pa.binary()), null_handling="skip") if len(part) > 1 else spelled[0]
-        return pa.table({"lang": pa.array([self.lang] * (end - start), pa.string()).dictionary_encode(), "phrase": phrase,
+        return pa.table({"lang": pa.DictionaryArray.from_arrays(np.zeros(end - start, np.int8), [self.lang]), "phrase": phrase,
                          "words": pa.array(sum((p > 0).astype(np.int32) for p in part), pa.int32()), "n": pa.array(self.counts[start:end], pa.int64())})
 
     def slices(self, splitters: list[tuple[str, list[bytes]]]):
         """(prefix partition, rows) of the run."""
         own = bisect_left(splitters, self.lang, key=lambda x: x[0]), bisect_right(splitters, self.lang, key=lambda x: x[0])
         cuts = np.searchsorted(self.keys, [self.least_key(p) for _, p in splitters[slice(*own)]]).tolist()
-        whole = self.table(0, len(self.keys))
         for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(self.keys)], strict=True)):
             if a < b:
-                yield own[0] + i, whole.slice(a, b - a)
+                yield own[0] + i, self.table(a, b)
 
 
 def _packed_slice(table: pa.Table) -> bytes:
@@ -340,8 +341,10 @@ def phrase_counts(docs: DataFrame, max_words: int, least: int, lang: str = "lang
 
     def run(batches):
         for found in _counted(batches, PhraseCounter(max_words, held)):
-            part = [(p, _packed_slice(t)) for p, t in found.slices(splitters)]
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in part], pa.int32()), pa.array([b for _, b in part], pa.binary())], names=["part", "run"])
+            for part, table in found.slices(splitters):
+                for at in range(0, len(table), SLICE_ROWS):
+                    packed = _packed_slice(table.slice(at, SLICE_ROWS))
+                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary())], names=["part", "run"])
 
     def merge(table: pa.Table) -> pa.Table:
         own = [pa.ipc.open_stream(r.as_buffer()).read_all() for r in table.column("run").combine_chunks()]
