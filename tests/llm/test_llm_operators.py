@@ -270,8 +270,8 @@ def brute_kneser_ney(texts, order=quality_model.ORDER):
             return 1 / quality_model.SYMBOLS
         c = counts[len(g)]
         of = [0, *(sum(v == i for v in c.values()) for i in (1, 2, 3, 4))]
-        y = of[1] / (of[1] + 2 * of[2])
-        d = [0, *(min(max(i - (i + 1) * y * of[i + 1] / of[i], 0), i) if of[i] else 0.5 for i in (1, 2, 3))]
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] + of[2] else None  # no n-gram with count 1 or 2: half a count each
+        d = [0, *(min(max(i - (i + 1) * y * of[i + 1] / of[i], 0), i) if of[i] and y is not None else 0.5 for i in (1, 2, 3))]
         same = [v for x, v in c.items() if x[:-1] == g[:-1]]
         if not same:
             return p(g[1:])
