@@ -1,12 +1,15 @@
 """Exact numeric aggregates with Postgres ``ROUND(numeric, n)`` semantics (X-9, X-10).
 
 Spark's decimal ``round`` is HALF_UP (ties away from zero), as is Postgres'
-numeric round. Averages and ratios are divided as decimals, never as
-doubles, so a tie such as 50.005 rounds the same way every time.
+numeric round. Averages and ratios are divided as whole numbers, quotient and
+remainder, so a tie such as 50.005 rounds the same way every time and nothing
+is rounded twice.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,16 +23,34 @@ def round_sum(c, scale: int = 2) -> Column:
     return F.round(F.sum(as_col(c)), scale).cast(f"decimal(38,{scale})")
 
 
-def exact_avg(c, scale: int = 2) -> Column:
-    """``ROUND(AVG(c)::numeric, scale)`` over decimals; NULL when no value."""
-    c = as_col(c)
-    # sum(decimal(18,2)) is decimal(28,2); divided by decimal(20,0) Spark keeps
-    # 12 fractional digits, far below any rounding tie of the final 2.
-    q = F.try_divide(F.sum(c), F.count(c).cast("decimal(20,0)"))
-    return F.round(q, scale).cast(f"decimal(38,{scale})")
+def _rounded_quotient(num: Column, den: Column, scale: int) -> Column:
+    """``num / den`` for whole ``decimal(38,0)`` numbers, ``num`` in units of
+    10**-scale: quotient and remainder decide, half away from zero, and no
+    intermediate result is rounded. NULL for a zero or NULL denominator."""
+    # div gives a bigint and wraps, so the exact multiple is divided instead
+    r = F.abs(num) % F.when(den > 0, den)
+    q = ((F.abs(num) - r).cast("decimal(38,0)") / F.when(den > 0, den)).cast("decimal(38,0)")
+    up = F.when(r * 2 >= den, F.lit(1)).otherwise(F.lit(0))
+    whole = (q + up).cast("decimal(38,0)") * F.when(num < 0, F.lit(-1)).otherwise(F.lit(1))
+    unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale + 1},{scale})")
+    return F.when(den > 0, (whole.cast(f"decimal({38 - scale},0)") * unit).cast(f"decimal(38,{scale})"))
+
+
+def exact_avg(c, scale: int = 2, digits: int = 4) -> Column:
+    """``ROUND(AVG(c)::numeric, scale)`` over decimals; NULL when no value.
+
+    ``digits`` is at least the column's number of fractional digits (staged
+    amounts have four); the sum is kept exactly and divided as whole numbers.
+    """
+    total = F.sum(as_col(c)).cast(f"decimal(38,{digits})")
+    # in units of the result: a sum of finer units divides by that much more
+    up, down = 10 ** max(scale - digits, 0), 10 ** max(digits - scale, 0)
+    units = (total * F.lit(Decimal(10) ** digits)).cast("decimal(38,0)") * F.lit(up).cast("decimal(10,0)")
+    count = F.count(as_col(c)).cast("decimal(20,0)") * F.lit(down).cast("decimal(10,0)")
+    return _rounded_quotient(units.cast("decimal(38,0)"), count.cast("decimal(38,0)"), scale)
 
 
 def exact_ratio(num: Column, den: Column, scale: int = 1) -> Column:
     """``ROUND(num::numeric / den, scale)`` for integer counts."""
-    q = F.try_divide(num.cast("decimal(20,0)"), den.cast("decimal(20,0)"))
-    return F.round(q, scale).cast(f"decimal(38,{scale})")
+    units = num.cast("decimal(20,0)") * F.lit(10 ** scale).cast("decimal(10,0)")
+    return _rounded_quotient(units.cast("decimal(38,0)"), den.cast("decimal(38,0)"), scale)

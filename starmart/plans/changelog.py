@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from starmart.operators import merge, staging
 from starmart.operators.scd2 import current_rows, scd2_backfill, scd2_snapshot
+from starmart.plans.bucketed import BucketTable
 from starmart.session import scratch_path
 from starmart.sources.lake import to_lake
 from starmart.sources.landing import normalize_names, read_pages, write_pages
@@ -28,6 +29,10 @@ from starmart.streaming.stream_merge import run_stream_merge
 KEY = "user_id"
 TRACKED = ["user_id", "event_type", "value", "updated_at"]
 PAGE_SIZE = 100
+#: Buckets of the keyed tables here.
+BUCKETS = 8
+#: Files a micro-batch takes, so that a run has several.
+STREAM_FILES = 100
 
 
 def changes(t: Tables) -> DataFrame:
@@ -40,18 +45,44 @@ def last_day(t: Tables):
     return t.events.agg(F.max(F.col("ts").cast("date"))).first()[0]
 
 
+CHANGE_COLUMNS = ["event_id", KEY, "event_type", "value", "updated_at"]
+
+
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I-6: the days before the last one loaded into an empty table, then the
-    last day upserted on top. Equals the latest change of every key."""
+    """I-6: the days before the last one loaded into an empty bucketed table,
+    then the last day upserted into the buckets it touches. Equals the latest
+    change of every key."""
     t = Tables(spark, sf_dir)
     c = changes(t)
     day = last_day(t)
-    cols = ["event_id", KEY, "event_type", "value", "updated_at"]
-    first = merge.upsert(None, c.where(F.col("batch_day") < F.lit(day)).select(*cols), key=KEY,
-                         order=["updated_at", "event_id"])
-    table = merge.upsert(first.drop(merge.EXTRACTED_AT), c.where(F.col("batch_day") >= F.lit(day)).select(*cols),
-                         key=KEY, order=["updated_at", "event_id"])
-    return table.select(*cols)
+    table = BucketTable(spark, scratch_path(spark, "upsert"), KEY, BUCKETS)
+    order = ["updated_at", "event_id"]
+    table.upsert(c.where(F.col("batch_day") < F.lit(day)).select(*CHANGE_COLUMNS), order=order)
+    table.upsert(c.where(F.col("batch_day") >= F.lit(day)).select(*CHANGE_COLUMNS), order=order)
+    return table.read().select(*CHANGE_COLUMNS)
+
+
+def load_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-1/I-5/I-6 over columns that come and go: events land in two runs; the
+    first lacks ``props``, the second lacks ``eventType`` and brings a nested
+    ``detail``. The table ends with the union of the columns, a key of both
+    runs with the first run's type and the second run's other values."""
+    t = Tables(spark, sf_dir)
+    pages = _event_pages(t).withColumn("id", F.col("userId"))
+    day = F.to_date(F.col("updatedAt").cast("timestamp_ntz"))
+    last = F.lit(last_day(t))
+    root = scratch_path(spark, "drift")
+    table = BucketTable(spark, f"{root}/table", buckets=BUCKETS)
+    runs = {"first": pages.where(day < last).drop("props"),
+            "second": pages.where(day >= last).drop("eventType").withColumn("detail", F.struct(F.col("value").alias("amount"), F.col("props")))}
+    marks = merge.empty_marks(spark)
+    for run, rows in runs.items():
+        write_pages(rows, f"{root}/{run}", page_size=PAGE_SIZE)
+        marks = merge.load_into(table, normalize_names(read_pages(spark, f"{root}/{run}", arrival=True)), marks, "events")
+    detail = F.from_json("detail", "amount string, props string")
+    return table.read().select(
+        F.col(KEY).cast("bigint").alias(KEY), "event_type", F.col("value").cast("decimal(18,2)").alias("value"), "props",
+        F.col("updated_at").cast("timestamp_ntz").alias("updated_at"), detail["amount"].cast("decimal(18,2)").alias("detail_amount"), detail["props"].alias("detail_props"))
 
 
 def _entity_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +159,8 @@ def landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-1: daily page files streamed into a keyed table (latest change wins)."""
+    """T-1: daily page files streamed, a few days a micro-batch, into the latest
+    change of every key."""
     t = Tables(spark, sf_dir)
     root = scratch_path(spark, "stream")
     landing = f"{root}/landing"
@@ -141,8 +173,8 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
      .select("day", F.to_json(F.struct("data")).alias("value"))
      .write.mode("overwrite").partitionBy("day").text(landing))
     table = run_stream_merge(spark, f"{landing}/*/", EVENT_ROW, f"{root}/table", f"{root}/checkpoint",
-                             key=KEY, prepare=_typed_events)
-    return table.read().select("event_id", KEY, "event_type", "value", "updated_at")
+                             key=KEY, order=["updated_at", "event_id"], prepare=_typed_events, max_files_per_trigger=STREAM_FILES)
+    return table.read().select(*CHANGE_COLUMNS)
 
 
 def stg_cast(entity: str):

@@ -65,6 +65,7 @@ def _quality(name: str) -> Query:
 
 CHANGELOG: dict[str, Query] = {
     "upsert_latest": changelog.upsert_latest,
+    "load_drift": changelog.load_drift,
     "high_water_marks": changelog.high_water_marks,
     "incremental_overlap": changelog.incremental_overlap,
     "scd2_history": changelog.scd2_history,

@@ -24,11 +24,13 @@ Mapping:
 from __future__ import annotations
 
 from collections.abc import Collection
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.sources.tables import Tables
+from starmart.operators.dims import calendar_bounds
+from starmart.sources.tables import Tables, app_id
 
 MONEY = "decimal(18,2)"
 PCT = "decimal(5,2)"
@@ -98,6 +100,10 @@ def item_key() -> Column:
                        F.col("l_shipdate").cast("date").cast("string"))
 
 
+#: First and last fact date, per application and folder.
+_BOUNDS: dict[tuple[str, str], tuple] = {}
+
+
 class TestMap:
     __test__ = False  # not a pytest class
 
@@ -294,13 +300,19 @@ class TestMap:
 
     # -- calendar bounds -------------------------------------------------
     def calendar_bounds(self) -> DataFrame:
-        """One row (start_date, end_date): whole years around every fact date."""
-        days = (self.t.orders.select(F.col("o_orderdate").cast("date").alias("d"))
-                .unionByName(self.t.lineitem.select(F.col("l_shipdate").cast("date").alias("d")))
-                .unionByName(self.t.events.select(F.col("ts").cast("date").alias("d"))))
-        return days.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).select(
-            F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("start_date"),
-            F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("end_date"))
+        """One row (start_date, end_date): whole years around every fact date.
+
+        The two dates are read once per application and folder and stand in the
+        plan as literals, so no query scans the fact tables for its calendar."""
+        key = (app_id(self.spark), self.t.sf_dir)
+        if key not in _BOUNDS:
+            days = [self.t.orders.select(F.col("o_orderdate").cast("date").alias("d")), self.t.lineitem.select(F.col("l_shipdate").cast("date").alias("d")),
+                    self.t.events.select(F.col("ts").cast("date").alias("d"))]
+            _BOUNDS[key] = tuple(reduce(DataFrame.unionByName, days).agg(F.min("d"), F.max("d")).first())
+        lo, hi = _BOUNDS[key]
+        if lo is None:  # no facts, no calendar
+            return calendar_bounds(self.spark).limit(0)
+        return calendar_bounds(self.spark, f"{lo.year:04d}-01-01", f"{hi.year:04d}-12-31")
 
     def staged(self) -> "LazyStaged":
         return LazyStaged(self)

@@ -3,11 +3,15 @@ import hashlib
 from decimal import Decimal
 
 import pytest
+from fractions import Fraction
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starmart.functions import calendar as cal
 from starmart.functions.casts import to_bool, to_date, to_decimal, to_int, to_timestamp, to_uuid
-from starmart.functions.decimal import exact_avg, exact_ratio, round_sum
+from starmart.functions.decimal import _rounded_quotient, exact_avg, exact_ratio, round_sum
 from starmart.functions.keys import scd_id, surrogate_key
 
 
@@ -98,3 +102,23 @@ def test_exact_rounding_ties_half_away_from_zero(spark):
     assert r["b"].avg == Decimal("-50.01")
     assert r["a"].s == Decimal("100.01")
     assert r["a"].ratio == Decimal("0.7")   # 2/3
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(-10**30, 10**30), st.integers(1, 10**13)), min_size=1, max_size=40))
+def test_quotients_round_once_half_away_from_zero(spark, pairs):
+    """Sums and counts far beyond 1e10 rows, and ties on purpose."""
+    pairs = pairs + [(n * d // 2 + s, d) for n, d in ((1, 2), (-1, 2), (3, 10**12), (-5, 10**12)) for s in (-1, 0, 1)]
+    cols = "cast(num as decimal(38,0)) num, cast(den as decimal(38,0)) den"
+    df = spark.createDataFrame([(i, str(n), str(d)) for i, (n, d) in enumerate(pairs)], "i int, num string, den string").selectExpr("i", *cols.split(", "))
+    got = {r["i"]: r["q"] for r in df.select("i", _rounded_quotient(F.col("num"), F.col("den"), 2).alias("q")).collect()}
+    for i, (n, d) in enumerate(pairs):
+        q = Fraction(abs(n), d)
+        whole = int(q) + (q - int(q) >= Fraction(1, 2))
+        assert int(got[i] * 100) == (whole if n >= 0 else -whole), (n, d)
+
+
+def test_average_of_four_digits_is_rounded_once(spark):
+    # 0.00499999... in 13 digits: rounding to 12 digits first would give 0.0050 and then 0.01
+    df = spark.createDataFrame([("0.0049",)] * 3 + [("0.0053",)], "x string").selectExpr("cast(x as decimal(18,4)) x")
+    assert str(df.agg(exact_avg("x")).first()[0]) == "0.01" and str(df.limit(3).agg(exact_avg("x")).first()[0]) == "0.00"

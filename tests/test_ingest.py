@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators import staging
 from starmart.plans.versions import VersionedTable
-from starmart.sources.landing import evolve_schema, normalize_names, read_pages, snake_case
+from starmart.sources.landing import normalize_names, read_pages, snake_case
 from starmart.streaming.stream_merge import run_stream_merge
 from starmart.plans.changelog import EVENT_ROW, _typed_events
 
@@ -43,12 +43,6 @@ def test_read_pages_drift_nested_missing(spark, tmp_dir):
     assert json.loads(r["2"]["address"]) == {"city": "Kano"}
 
 
-def test_evolve_schema_keeps_old_columns(spark):
-    target = spark.createDataFrame([("1", "x")], "id string, old string")
-    batch = spark.createDataFrame([("2", "y")], "id string, new string")
-    assert set(evolve_schema(target, batch).columns) == {"id", "old", "new"}
-
-
 def test_stage_casts_and_bad_rows(spark):
     raw = spark.createDataFrame([
         ("A0EEBC99-9C0B-4EF8-BB6D-6BB9BD380A11", "b0eebc999c0b4ef8bb6d6bb9bd380a11", None, None, "shipped",
@@ -84,19 +78,49 @@ def test_versioned_table_commits(spark, tmp_dir):
     assert t.last_batch_id() == 0
 
 
-def test_stream_merge_matches_batch_and_skips_replays(spark, tmp_dir):
+def day_page(landing, day, users=3):
+    write_lines(os.path.join(landing, f"day={day}"), "page.json", [{"data": [
+        {"id": str(10 * day + i), "userId": str(i % users), "eventType": f"t{day}", "value": "1.00",
+         "props": "{}", "updatedAt": f"2024-01-0{day + 1}T00:00:0{i}Z"} for i in range(5)]}])
+
+
+def run_days(spark, tmp_dir, checkpoint="ckpt"):
+    return run_stream_merge(spark, os.path.join(tmp_dir, "landing", "*/"), EVENT_ROW, os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, checkpoint),
+                            key="user_id", order=["updated_at", "event_id"], prepare=_typed_events, max_files_per_trigger=1)
+
+
+def latest(table):
+    return {r.user_id: r.event_id for r in table.read().collect()}
+
+
+def test_stream_writes_changed_keys_only_and_restarts(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     for day in range(3):
-        write_lines(os.path.join(landing, f"day={day}"), "page.json", [{"data": [
-            {"id": str(10 * day + i), "userId": str(i % 3), "eventType": f"t{day}", "value": "1.00",
-             "props": "{}", "updatedAt": f"2024-01-0{day + 1}T00:00:0{i}Z"} for i in range(5)]}])
-    table_path, ckpt = os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "ckpt")
-    t = run_stream_merge(spark, landing + "/*/", EVENT_ROW, table_path, ckpt, key="user_id",
-                         prepare=_typed_events, max_files_per_trigger=1)
-    got = {r.user_id: r.event_id for r in t.read().collect()}
-    assert got == {0: 23, 1: 24, 2: 22}
-    v = t.current_version()
-    # rerun: nothing new landed, nothing is applied
-    t = run_stream_merge(spark, landing + "/*/", EVENT_ROW, table_path, ckpt, key="user_id",
-                         prepare=_typed_events, max_files_per_trigger=1)
-    assert t.current_version() == v
+        day_page(landing, day)
+    t = run_days(spark, tmp_dir)
+    assert latest(t) == {0: 23, 1: 24, 2: 22}
+    first = t.batches()
+    assert len(first) == 3  # one page file a micro-batch
+    # nothing new landed: nothing is written
+    assert run_days(spark, tmp_dir).batches() == first
+    # after a restart the state knows the keys: a late page changes none of them
+    write_lines(os.path.join(landing, "day=late"), "page.json", [{"data": [
+        {"id": "90", "userId": "0", "eventType": "late", "value": "2.00", "props": "{}", "updatedAt": "2024-01-01T00:00:00Z"},
+        {"id": "91", "userId": "9", "eventType": "new", "value": "2.00", "props": "{}", "updatedAt": "2024-01-01T00:00:00Z"}]}])
+    t = run_days(spark, tmp_dir)
+    (late,) = set(t.batches()) - set(first)
+    written = {r.user_id: r.event_id for r in spark.read.parquet(f"{t.path}/{late}").collect()}
+    assert written == {0: 23, 9: 91}  # the touched keys, each with its latest row
+    assert latest(t) == {0: 23, 1: 24, 2: 22, 9: 91}
+    # a replayed batch replaces its folder; a new checkpoint starts over; both change nothing
+    t.write_batch(spark.read.parquet(f"{t.path}/{late}"), 0)
+    assert latest(run_days(spark, tmp_dir, "other")) == {0: 23, 1: 24, 2: 22, 9: 91}
+
+
+def test_stream_state_is_in_rocksdb(spark, tmp_dir):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    day_page(os.path.join(tmp_dir, "landing"), 0)
+    run_days(spark, tmp_dir)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    state = [f for _, _, files in os.walk(os.path.join(tmp_dir, "ckpt", "state")) for f in files]
+    assert any(f.endswith(".zip") or f.endswith(".changelog") for f in state)
