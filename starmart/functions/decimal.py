@@ -26,10 +26,10 @@ def round_sum(c, scale: int = 2) -> Column:
 def _rounded_quotient(num: Column, den: Column, scale: int) -> Column:
     """``num / den`` for whole ``decimal(38,0)`` numbers, ``num`` in units of
     10**-scale: quotient and remainder decide, half away from zero, and no
-    intermediate result is rounded. NULL for a zero or NULL denominator."""
-    # div gives a bigint and wraps, so the exact multiple is divided instead
-    r = F.abs(num) % F.when(den > 0, den)
-    q = ((F.abs(num) - r).cast("decimal(38,0)") / F.when(den > 0, den)).cast("decimal(38,0)")
+    intermediate result is rounded. NULL for a zero or NULL denominator. The
+    quotient has to fit 64 bits: the average of any decimal(18, n) column does."""
+    q = F.call_function("div", F.abs(num), den).cast("decimal(38,0)")
+    r = F.abs(num) - q * den
     up = F.when(r * 2 >= den, F.lit(1)).otherwise(F.lit(0))
     whole = (q + up).cast("decimal(38,0)") * F.when(num < 0, F.lit(-1)).otherwise(F.lit(1))
     unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale + 1},{scale})")
