@@ -3,14 +3,20 @@
 A batch's new words lie end to end in one flat symbol array. Each round finds
 the smallest pair rank of every word with a segmented minimum, merges the
 leftmost occurrences of that pair in all words at once, and drops words that
-have no pair left. Words already seen come from a bounded memo.
+have no pair left. Short words already seen come from a memo.
+
+Texts are taken apart in blocks of ``BLOCK`` characters that end between words,
+and the memo is bounded in words and in characters a word, so memory follows
+these bounds, one batch of Arrow rows of about ``BLOCK`` characters and the
+longest text or run without spaces, not a task's texts.
 
 The model must be BPE with the identity normaliser, a dummy prefix, no removal
 of extra white space and no piece that has a space mark behind another symbol:
 then merges never cross the start of a word, and words are encoded one by one.
 
 Null and empty texts give begin and end ids only. Repeated rows are encoded
-alike; other columns of the input pass through untouched.
+alike; other columns of the input pass through untouched, but for one named as
+the token ids are, which gives way to them.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -29,13 +36,19 @@ from starmart.llm.common import in_arrow
 SPACE = "▁"
 #: A word with the spaces before it, or the spaces that end a text.
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Where a word starts behind another one.
+WORD_START = re.compile(f"(?<=[^{SPACE}]){SPACE}")
+#: Characters that are split into words, and merged, at a time.
+BLOCK, MERGED = 1 << 20, 1 << 18
+#: Longer words are merged anew each time.
+MEMO_CHARS = 32
 NO_RANK = np.int64(1) << 62
 
 
 class PieceModel:
     """The pieces of a model file as lookup tables."""
 
-    def __init__(self, path: str, memo_words: int = 500_000):
+    def __init__(self, path: str, memo_words: int = 200_000):
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -149,16 +162,35 @@ class PieceModel:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, begin and end ids included, as 32-bit integers."""
-        split = [SEGMENT.findall((" " + t).replace(" ", SPACE)) if t else [] for t in texts]
+        begin, end = (np.array([i], "<u4").tobytes() for i in (self.bos, self.eos))
+        out: list[list[bytes]] = [[begin] for _ in texts]
+        block: list[tuple[int, list[str]]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for part in parts((" " + text).replace(" ", SPACE)) if text else ():
+                block.append((i, SEGMENT.findall(part)))
+                size += len(part)
+                if size >= BLOCK:
+                    self._encode_block(block, out)
+                    block, size = [], 0
+        self._encode_block(block, out)
+        for ids in out:
+            ids.append(end)
+        return [b"".join(ids) for ids in out]
+
+    def _encode_block(self, block: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
+        """Append the ids of each part of a block to those of its text."""
         if len(self.memo) > self.memo_words:
             self.memo.clear()
-        memo = self.memo
-        new = list(set().union(*split).difference(memo))
-        for at in range(0, len(new), 50_000):
-            part = new[at:at + 50_000]
-            memo.update(zip(part, self.encode_words(part), strict=True))
-        begin, end = (np.array([i], "<u4").tobytes() for i in (self.bos, self.eos))
-        return [begin + b"".join(map(memo.__getitem__, words)) + end for words in split]
+        new = set().union(*(words for _, words in block)).difference(self.memo)
+        known = self.memo
+        if any(len(w) > MEMO_CHARS for w in new):
+            known = _Both(self.memo)
+        for some in _sized(new, MERGED):
+            for w, ids in zip(some, self.encode_words(some), strict=True):
+                (self.memo if len(w) <= MEMO_CHARS else known.own)[w] = ids
+        for i, words in block:
+            out[i].append(b"".join(map(known.__getitem__, words)))
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; control ids give nothing, the dummy prefix goes."""
@@ -167,19 +199,61 @@ class PieceModel:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+class _Both:
+    """The memo, and the long words of one block beside it."""
+
+    def __init__(self, memo: dict[str, bytes]):
+        self.memo, self.own = memo, {}
+
+    def __getitem__(self, word: str) -> bytes:
+        return (self.memo if len(word) <= MEMO_CHARS else self.own)[word]
+
+
+def parts(text: str):
+    """A text in parts of about ``BLOCK`` characters that end between words."""
+    at = 0
+    while len(text) - at > BLOCK and (cut := WORD_START.search(text, at + BLOCK)):
+        yield text[at:cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def _sized(words, limit: int):
+    """Lists of words of about ``limit`` characters, or of one long word."""
+    some, size = [], 0
+    for word in words:
+        if some and size + len(word) > limit:
+            yield some
+            some, size = [], 0
+        some.append(word)
+        size += len(word)
+    if some:
+        yield some
+
+
+def row_slices(batch: pa.RecordBatch, text: str):
+    """A batch in runs of rows whose texts have about ``BLOCK`` bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)) // BLOCK
+    cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 @lru_cache(maxsize=2)
 def model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
 def encode_documents(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with ``ids`` (array of int) in place of the column ``text``."""
+    """``docs`` with ``ids`` (array of int) in place of the column ``text``. A
+    column of the name ``ids`` gives way to the token ids; others pass through."""
     fields = [f for f in docs.schema.fields if f.name not in (text, ids)]
     schema = T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType()), False)])
 
     def run(batches):
         pieces = model(model_path)
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in row_slices(whole, text)):
             coded = pieces.encode([x or "" for x in batch.column(text).to_pylist()])
             offsets = np.zeros(len(coded) + 1, np.int32)
             np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
@@ -196,7 +270,7 @@ def token_digests(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches):
         pieces = model(model_path)
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in row_slices(whole, "text")):
             coded = pieces.encode([x or "" for x in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0),
