@@ -2,13 +2,18 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns the documents it keeps,
 with the columns of documents; the last one returns their tokens. Stages are
-written as Parquet and read again in between. A stage decides on row identity
-(doc_id and a hash of the text); rows with a null doc_id are judged like others.
+written as Parquet and read again in between.
+
+A stage decides on each row by itself: rows are numbered by their file and their
+place in it (:func:`_numbered`), never looked up by doc_id. So rows with a null
+doc_id are judged like others, and rows that share a doc_id each by their own
+text. Null and empty texts stay in every stage, an empty table gives an empty
+one, and columns that documents lack here pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.llm import decontaminate, quality_model, secret_scan, sentence_pieces, shingle_join
@@ -17,37 +22,51 @@ from starmart.llm.queries import BENCHMARK_WORDS, PIECES, tokenizer_path
 
 #: Near duplicates share 0.8 or more of their 5-word shingles.
 NEAR_WORDS, NEAR_SHARE = 5, (80, 100)
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows of the given doc_ids (no nulls among them)."""
-    gone = ids.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+#: Bits of a row's place in its file; the file's number stands before them.
+ROW_BITS = 40
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column, and its name, that numbers each row, the same in
+    every read: its file's number, then its place in the file. Rows that aren't
+    just read from Parquet files are written first."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = materialize(docs, "stage-rows")
+    row = "row"
+    while row in docs.columns:
+        row = f"_{row}"
+    at, file, number = docs.metadataColumn("_metadata"), f"{row}_file", f"{row}_number"
+    placed = docs.select("*", at["file_path"].alias(file), at["row_index"].alias(row))
+    files = placed.select(file).distinct().withColumn(number, F.row_number().over(Window.orderBy(file)) - 1)
+    files = materialize(files, "stage-files")  # a row for each file of the input, as Spark's own listing
+    whole = (F.shiftleft(F.col(number).cast("long"), ROW_BITS) + F.col(row)).alias(row)
+    return placed.join(F.broadcast(files), file).select(*docs.columns, whole), row
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity isn't over their language's threshold."""
-    judged = quality_model.classify(docs, read_table(spark, sf_dir, "labels"))
-    return _without(docs, judged.where("NOT accepted AND doc_id IS NOT NULL"))
+    rows, row = _numbered(docs)
+    judged = quality_model.classify(rows, read_table(spark, sf_dir, "labels"), row)
+    return rows.join(judged.where("NOT accepted").select(row), row, "left_anti").select(docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group; of rows that repeat
-    it, one. Documents without words are no copies of each other."""
-    found = shingle_join.similar_components(docs, NEAR_WORDS, *NEAR_SHARE)
-    kept = _without(docs, found.where("doc_id != component_id"))
-    return kept.dropDuplicates() if _repeats(found) else kept
-
-
-def _repeats(found: DataFrame) -> bool:
-    """Whether a doc_id stands in several rows."""
-    return not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
+    """The document with the least doc_id of each group (a null one last; of
+    equal ids the first row). Documents without words are no copies of others."""
+    rows, row = _numbered(docs)
+    found = shingle_join.similar_components(rows.select(F.col(row).alias("doc_id"), "text"), NEAR_WORDS, *NEAR_SHARE)
+    ids = rows.select(F.col(row).alias("member"), F.col("doc_id").cast("long").alias("doc_id"))
+    order = F.struct(F.col("ids.doc_id").isNull().alias("unknown"), F.col("ids.doc_id").alias("id"), F.col("member").alias(row))
+    first = (found.alias("found").join(ids.alias("ids"), F.col("found.doc_id") == F.col("member"))
+             .groupBy("component_id").agg(F.min(order).alias("first")).select(f"first.{row}"))
+    return rows.join(first, row, "left_semi").select(docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"), BENCHMARK_WORDS)
-    return _without(docs, found.where("contaminated AND doc_id IS NOT NULL"))
+    rows, row = _numbered(docs)
+    found = decontaminate.contamination(rows.select(F.col(row).alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"), BENCHMARK_WORDS)
+    return rows.join(found.where("contaminated").select(F.col("doc_id").alias(row)), row, "left_anti").select(docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -111,8 +111,8 @@ def _tallies(docs: DataFrame) -> DataFrame:
     return in_arrow(docs.select("lang", "text"), run, "lang string, gram long, n long")
 
 
-def _languages(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+def _languages(docs: DataFrame, own: list[str] | tuple = ()) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.coalesce("lang", F.lit("")).alias("lang"), *own)
 
 
 def trusted_ids(labels: DataFrame, out: int = 0) -> DataFrame:
@@ -129,13 +129,15 @@ def toxic_ids(labels: DataFrame) -> DataFrame:
     return bad.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"))
 
 
-def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, lang, fold, toxic of every document row; both null unless
-    the document is trusted or toxic."""
-    rows = _languages(docs)
+def marked(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, text, lang, fold, toxic of every document row, and its column
+    ``row`` if named; fold and toxic are null unless the document is trusted or
+    toxic."""
+    own = [row] if row else []
+    rows = _languages(docs, own)
     ids = (trusted_ids(labels).select("doc_id", "fold", F.lit(False).alias("toxic"))
            .unionByName(toxic_ids(labels).withColumn("toxic", F.lit(True))))
-    known = rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left").select("doc_id", "text", "lang", "fold", "toxic")
+    known = rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left").select("doc_id", "text", "lang", *own, "fold", "toxic")
     nulls = (F.lit(None).cast(t).alias(c) for c, t in (("fold", "int"), ("toxic", "boolean")))
     return known.unionByName(rows.where("doc_id IS NULL").select("*", *nulls))
 
@@ -372,10 +374,10 @@ def thresholds(scored: DataFrame, measure: str) -> DataFrame:
         "base", "lang", F.when(own, F.col("highest")).otherwise(F.col("center") + F.col("margin") * F.col("spread")).alias("threshold")), "thresholds")
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id, lang, perplexity, threshold, contrast, contrast_threshold, accepted
-    of every document row."""
-    rows = _modelled(materialize(marked(docs, labels), "marked"))
+    of every document row; and ``row``, a column that tells rows apart, if named."""
+    rows = _modelled(materialize(marked(docs, labels, row), "marked"))
     by_model = rows.select("doc_id", "text", F.col("model").alias("lang"))
     model = train_marked(rows.select("text", F.col("base").alias("lang"), "fold", "toxic"))
     scores = gram_scores(by_model, model)
@@ -386,5 +388,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         bars = thresholds(scored, measure).withColumnRenamed("threshold", name)
         out = out.join(F.broadcast(bars), ["base", "lang"], "left")  # a row for each language
     below = [F.coalesce(F.col(x) <= F.col(y), F.lit(True)) for x, y in (("surprise", "surprise_bar"), ("contrast", "contrast_threshold"))]
-    return out.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), "perplexity", F.exp("surprise_bar").alias("threshold"),
+    return out.select("doc_id", *([row] if row else []), F.nullif("lang", F.lit("")).alias("lang"), "perplexity", F.exp("surprise_bar").alias("threshold"),
                       "contrast", "contrast_threshold", (below[0] & below[1]).alias("accepted"))

@@ -134,16 +134,19 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, ratio: list[float], text: str = "text") -> DataFrame:
     """``docs`` with secrets in ``text`` replaced; of an assignment only the
-    value goes. Each kind is replaced in what the kinds before it left."""
-    out = docs
+    value goes. Each kind is replaced in what the kinds before it left. Other
+    columns pass through, whatever their names."""
+    out, parts = docs, "parts"
+    while parts in docs.columns:
+        parts = f"_{parts}"
     for kind, pattern, group in PATTERNS:
         col = F.col(text)
         zipped = F.arrays_zip(F.split(col, pattern, -1).alias("g"), F.regexp_extract_all(col, F.lit(pattern), F.lit(0)).alias("m"),
                               F.regexp_extract_all(col, F.lit(pattern), F.lit(group)).alias("v"))
         secret = {"assign": f"length(s.v) >= {ASSIGNED}", "markov": f"{randomness('s.v', ratio)} > {MARGIN}"}.get(kind, "true")
-        rebuilt = F.expr("array_join(transform(parts, s -> concat(s.g, CASE WHEN s.m IS NULL THEN '' "
+        rebuilt = F.expr(f"array_join(transform({parts}, s -> concat(s.g, CASE WHEN s.m IS NULL THEN '' "
                          f"WHEN {secret} THEN concat(left(s.m, length(s.m) - length(s.v)), '{REDACTED}') ELSE s.m END)), '')")
-        out = (out.withColumn("parts", F.when(col.rlike(pattern), zipped))
-               .withColumn(text, F.when(F.col("parts").isNull(), col).otherwise(rebuilt)).drop("parts"))
+        out = (out.withColumn(parts, F.when(col.rlike(pattern), zipped))
+               .withColumn(text, F.when(F.col(parts).isNull(), col).otherwise(rebuilt)).drop(parts))
     return out
 
