@@ -16,14 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from starmart.operators import merge, staging
-from starmart.operators.scd2 import current_rows, scd2_backfill, scd2_snapshot
+from starmart.operators import dims, merge, staging
+from starmart.operators.scd2 import current_rows, latest_per_key, scd2_backfill, scd2_snapshot
+from starmart.operators.scd2_store import Scd2Store
 from starmart.plans.bucketed import BucketTable
+from starmart.plans.warehouse import Warehouse
 from starmart.session import scratch_path
 from starmart.sources.lake import to_lake
 from starmart.sources.landing import normalize_names, read_pages, write_pages
+from starmart.sources.runs import RunLanding
 from starmart.sources.tables import Tables
-from starmart.sources.testmap import TestMap
+from starmart.sources.testmap import SNAPSHOT_TS, TestMap
 from starmart.streaming.stream_merge import run_stream_merge
 
 KEY = "user_id"
@@ -130,6 +133,52 @@ def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(scd2_incremental(spark, sf_dir))
 
 
+# -- customers with several versions -------------------------------------------
+
+FIRST_DAY = SNAPSHOT_TS[:10]
+
+
+def customer_changes(t: Tables) -> DataFrame:
+    """The customers as first loaded, then one row per event, which gives its
+    user another tier. ``batch_day`` is the day a snapshot run sees the row."""
+    own = TestMap(t).customers()
+    first = own.select(*dims.CUSTOMER_TRACKED, F.lit(-1).cast("bigint").alias("event_id"), F.lit(FIRST_DAY).cast("date").alias("batch_day"))
+    e = t.events.select("user_id", "event_id", F.col("event_type").alias("_tier"), F.col("ts").alias("_at"))
+    values = {"customer_id": F.col("user_id"), "tier": F.col("_tier"), "is_deleted": F.lit(False), "updated_at": F.col("_at")}
+    later = e.join(own, F.col("user_id") == F.col("customer_id"), "left").select(
+        *[values.get(c, F.col(c)).alias(c) for c in dims.CUSTOMER_TRACKED], "event_id", F.col("_at").cast("date").alias("batch_day"))
+    return first.unionByName(later)
+
+
+def customer_store(spark: SparkSession, sf_dir: str) -> Scd2Store:
+    """A snapshot store after two steps: the history up to the day before the
+    last one, and a run over the last day's batch, from which the customers that
+    didn't change that day are absent (SCD-3: they stay open)."""
+    t = Tables(spark, sf_dir)
+    c, day = customer_changes(t), last_day(t)
+    store = Scd2Store(spark, scratch_path(spark, "customer-history"))
+    store.load(scd2_backfill(c.where(F.col("batch_day") < F.lit(day)), "customer_id", "batch_day", tracked=dims.CUSTOMER_TRACKED, arrival="event_id"))
+    last = latest_per_key(c.where(F.col("batch_day") >= F.lit(day)), "customer_id", ["updated_at", "event_id"])
+    store.run(last, "customer_id", dims.CUSTOMER_TRACKED, source_unique=True)
+    return store
+
+
+def _with_history(spark: SparkSession, sf_dir: str) -> Warehouse:
+    tm = TestMap(Tables(spark, sf_dir))
+    return Warehouse(tm.staged(), tm.calendar_bounds(), snapshots={"customer": customer_store(spark, sf_dir).history()})
+
+
+def dim_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-1/SCD-1 to SCD-4 with several versions a customer."""
+    return _with_history(spark, sf_dir).dim_customer
+
+
+def fct_payments_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-2/J-2 over customers with several versions: each payment meets the
+    current one."""
+    return _with_history(spark, sf_dir).fct_payments
+
+
 # -- landing, staging and streaming --------------------------------------------
 
 def _event_pages(t: Tables) -> DataFrame:
@@ -158,6 +207,39 @@ def landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_events(normalize_names(read_pages(spark, path, EVENT_ROW)))
 
 
+LATE_USERS = 4
+
+
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-2/I-7 from a landing in extract runs: two runs land and are loaded; then
+    a third one lands, and pages of the first one that come late (those of one in
+    ``LATE_USERS`` users). The second load reads these alone, and all events end
+    in the table: the latest change of every user."""
+    t = Tables(spark, sf_dir)
+    root = scratch_path(spark, "runs")
+    last = F.lit(last_day(t))
+    day = F.to_date(F.col("updatedAt").cast("timestamp_ntz"))
+    late = F.pmod(F.xxhash64("userId"), F.lit(LATE_USERS)) == 0
+    pages = _event_pages(t).withColumn("late", late)
+    third, second = day >= last, (day < last) & (day >= F.date_sub(last, 7))
+    table = BucketTable(spark, f"{root}/table", "user_id", BUCKETS)
+    landing = RunLanding(spark, f"{root}/landing", f"{root}/consumed")
+    land = lambda rows, to: write_pages(rows.drop("late"), f"{landing.path}/{to}", page_size=PAGE_SIZE)
+    order = ["updated_at", "event_id"]
+
+    land(pages.where(~second & ~third & ~F.col("late")), "run=1/on-time")
+    land(pages.where(second), "run=2/on-time")
+    landing.load(table, order=order, prepare=_typed_rows)
+    land(pages.where(third), "run=3/on-time")
+    land(pages.where(~second & ~third & F.col("late")), "run=1/late")
+    landing.load(table, order=order, prepare=_typed_rows)
+    return table.read().select(*CHANGE_COLUMNS)
+
+
+def _typed_rows(rows: DataFrame) -> DataFrame:
+    return _typed_events(normalize_names(rows))
+
+
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-1: daily page files streamed, a few days a micro-batch, into the latest
     change of every key."""

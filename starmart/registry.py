@@ -6,13 +6,15 @@ from them) in full.
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators import quality
-from starmart.plans import changelog
+from starmart.plans import changelog, colocated
 from starmart.plans.warehouse import MART_NAMES, REPORT_NAMES, Reports, Warehouse
+from starmart.session import scratch_path
 from starmart.sources.tables import Tables, app_id
 from starmart.sources.testmap import TestMap
 
@@ -68,9 +70,12 @@ CHANGELOG: dict[str, Query] = {
     "load_drift": changelog.load_drift,
     "high_water_marks": changelog.high_water_marks,
     "incremental_overlap": changelog.incremental_overlap,
+    "incremental_runs": changelog.incremental_runs,
     "scd2_history": changelog.scd2_history,
     "scd2_incremental": changelog.scd2_incremental,
     "scd2_current": changelog.scd2_current,
+    "dim_customer_history": changelog.dim_customer_history,
+    "fct_payments_history": changelog.fct_payments_history,
     "landing_pages": changelog.landing_pages,
     "stream_merge": changelog.stream_merge,
     "stg_cast_orders": changelog.stg_cast("orders"),
@@ -86,6 +91,21 @@ CHANGELOG: dict[str, Query] = {
 }
 
 
+#: Buckets of the tables that are joined on the order key here.
+ORDER_BUCKETS = 16
+COLOCATED = {"fct_sales": ("order_items", "orders"), "fct_payments": ("payments", "orders")}
+
+
+def _colocated(name: str) -> Query:
+    """A fact whose order join (J-1, J-6) runs over tables bucketed on the order key."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        w = warehouse(spark, sf_dir)
+        own = colocated.by_order(spark, w.staged, scratch_path(spark, "colocated"), ORDER_BUCKETS, COLOCATED[name])
+        return getattr(Warehouse(ChainMap(own, w.staged), w.bounds), name)
+    q.__name__ = f"{name}_colocated"
+    return q
+
+
 def payment_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
     return quality.payment_conservation(w.staged["payments"], w.fct_payments, w.flagged_payments)
@@ -99,6 +119,8 @@ def queries() -> dict[str, Query]:
         out[n] = _mart(n)
     for n in QUALITY:
         out[n] = _quality(n)
+    for n in COLOCATED:
+        out[f"{n}_colocated"] = _colocated(n)
     out["payment_conservation"] = payment_conservation
     out.update(CHANGELOG)
     return out

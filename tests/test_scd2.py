@@ -120,3 +120,26 @@ def test_scd2_store_appends_only_changes(spark, tmp_dir):
     h = store.run(src(spark, [(1, "a2", T[3]), (2, "b", T[0])]), "k", TRACKED)
     assert store.closed_rows().count() == 1 and h.count() == 3
     assert rows(store.open_rows().select("k", "attr"), ["k"]) == [{"k": 1, "attr": "a2"}, {"k": 2, "attr": "b"}]
+
+
+def test_scd2_store_prunes_closed_rows_by_month(spark, tmp_dir):
+    import datetime as dt
+    import os
+    from starmart.operators.scd2_store import MONTH, Scd2Store
+    at = [dt.datetime(2023, 12, 31), dt.datetime(2024, 1, 15), dt.datetime(2024, 2, 1)]
+    changes = spark.createDataFrame([(1, v, t, t.date()) for v, t in zip("abc", at)] + [(2, "x", at[0], at[0].date())],
+                                    f"{src(spark, []).schema.simpleString()[7:-1].replace(':', ' ')}, day date")
+    store = Scd2Store(spark, os.path.join(tmp_dir, "snap"))
+    assert store.closed_rows(202401, 202401) is None
+    store.load(scd2_backfill(changes, "k", "day", tracked=TRACKED))
+    assert MONTH not in store.history().columns and store.history().count() == 4
+    january = store.closed_rows(202401, 202401)
+    assert rows(january.select("k", "attr")) == [{"k": 1, "attr": "a"}]
+    assert MONTH in january._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    # a batch without key 2: it stays open
+    store.run(src(spark, [(1, "d", dt.datetime(2024, 3, 1))]), "k", TRACKED)
+    assert rows(store.open_rows().select("k", "attr"), ["k"]) == [{"k": 1, "attr": "d"}, {"k": 2, "attr": "x"}]
+    assert store.closed_rows(first_month=202402).count() == 2 and store.closed_rows().count() == 3
+    import pytest
+    with pytest.raises(ValueError):
+        store.load(store.history())
