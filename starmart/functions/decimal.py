@@ -42,12 +42,17 @@ def exact_avg(c, scale: int = 2, digits: int = 4) -> Column:
     ``digits`` is at least the column's number of fractional digits (staged
     amounts have four); the sum is kept exactly and divided as whole numbers.
     """
-    total = F.sum(as_col(c)).cast(f"decimal(38,{digits})")
+    return exact_quotient(F.sum(as_col(c)), F.count(as_col(c)), scale, digits)
+
+
+def exact_quotient(total: Column, count: Column, scale: int = 2, digits: int = 4) -> Column:
+    """``ROUND(total::numeric / count, scale)`` of a sum and its number of values,
+    for averages whose parts were added up before."""
     # in units of the result: a sum of finer units divides by that much more
     up, down = 10 ** max(scale - digits, 0), 10 ** max(digits - scale, 0)
-    units = (total * F.lit(Decimal(10) ** digits)).cast("decimal(38,0)") * F.lit(up).cast("decimal(10,0)")
-    count = F.count(as_col(c)).cast("decimal(20,0)") * F.lit(down).cast("decimal(10,0)")
-    return _rounded_quotient(units.cast("decimal(38,0)"), count.cast("decimal(38,0)"), scale)
+    units = (total.cast(f"decimal(38,{digits})") * F.lit(Decimal(10) ** digits)).cast("decimal(38,0)") * F.lit(up).cast("decimal(10,0)")
+    parts = count.cast("decimal(20,0)") * F.lit(down).cast("decimal(10,0)")
+    return _rounded_quotient(units.cast("decimal(38,0)"), parts.cast("decimal(38,0)"), scale)
 
 
 def exact_ratio(num: Column, den: Column, scale: int = 1) -> Column:

@@ -131,16 +131,18 @@ def daily_movements(movements: DataFrame) -> DataFrame:
 
 
 def fct_inventory_daily(movements: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
-                        dim_store: DataFrame) -> DataFrame:
+                        dim_store: DataFrame, day: bool = False) -> DataFrame:
     """F-3. The grain key is ``md5(day|product|store)``: the reference's key has
-    no separator and collides for variable-width ids."""
+    no separator and collides for variable-width ids. ``day`` keeps
+    ``movement_date``, which has days outside the calendar too."""
     f = _lookup(daily_movements(movements), F.col("movement_date"), dim_date, "date_key", "date_key")
     f = _lookup(f, F.col("product_id"), dim_product, "product_id", "product_sk", current_only=True)
     f = _lookup(f, F.col("store_id"), dim_store, "store_id", "store_sk")
     return f.select(
         surrogate_key("movement_date", "product_id", "store_id").alias("inventory_sk"),
         "date_key", "product_sk", "store_sk", "quantity_in", "quantity_out",
-        (F.col("quantity_in") - F.col("quantity_out")).alias("net_movement"))
+        (F.col("quantity_in") - F.col("quantity_out")).alias("net_movement"),
+        *(["movement_date"] if day else []))
 
 
 def lifecycle_order_columns(keys: Collection[str] = LIFECYCLE_KEYS) -> list[str]:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators import quality
-from starmart.plans import changelog, colocated
+from starmart.plans import changelog, colocated, daily_reports, inventory
 from starmart.plans.warehouse import MART_NAMES, REPORT_NAMES, Reports, Warehouse
 from starmart.session import scratch_path
 from starmart.sources.tables import Tables, app_id
@@ -106,6 +106,19 @@ def _colocated(name: str) -> Query:
     return q
 
 
+def _daily(name: str) -> Query:
+    """A report from daily states that unite over days."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return daily_reports.REPORTS[name](spark, warehouse(spark, sf_dir))
+    q.__name__ = name
+    return q
+
+
+def fct_inventory_daily_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = warehouse(spark, sf_dir)
+    return inventory.maintained(spark, w.staged["inventory_movements"], w.dim_date, w.dim_product, w.dim_store)
+
+
 def payment_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
     return quality.payment_conservation(w.staged["payments"], w.fct_payments, w.flagged_payments)
@@ -121,6 +134,9 @@ def queries() -> dict[str, Query]:
         out[n] = _quality(n)
     for n in COLOCATED:
         out[f"{n}_colocated"] = _colocated(n)
+    for n in daily_reports.REPORTS:
+        out[n] = _daily(n)
+    out["fct_inventory_daily_maintained"] = fct_inventory_daily_maintained
     out["payment_conservation"] = payment_conservation
     out.update(CHANGELOG)
     return out
