@@ -176,6 +176,18 @@ _ROW_RULES = {
 }
 
 
+def row_rules(model: str) -> list[tuple[str, Column]]:
+    """The rules on single rows of a table: name and the predicate of a violation."""
+    return [(name, hit()) for name, hit in _ROW_RULES.get(model, [])]
+
+
+def leak_check(marts: dict[str, DataFrame]) -> DataFrame:
+    """Q-7: clean payments that are quarantined too."""
+    name = "fct_payments_no_flagged_payments"
+    return rule_violations(marts)[name].agg(F.count(F.lit(1)).alias("n")).select(
+        F.inline(F.array(_row(name, _RULE_MODEL[name], None, F.col("n")))))
+
+
 def _table_pass(model: str, df: DataFrame, not_null: list[str], unique: str,
                 rules: list) -> DataFrame:
     """Not-null, unique and row rules of one table in one two-level aggregate:
@@ -212,9 +224,7 @@ def run_suite(marts: dict[str, DataFrame]) -> DataFrame:
             if uniq:
                 frames.append(unique_checks(marts, {model: uniq}))
     frames.append(relationship_checks(marts))
-    leak = rule_violations(marts)["fct_payments_no_flagged_payments"]
-    frames.append(leak.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(
-        _row("fct_payments_no_flagged_payments", "fct_payments", None, F.col("n"))))))
+    frames.append(leak_check(marts))
     return _union(frames)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators import quality
-from starmart.plans import changelog, colocated, daily_reports, inventory
+from starmart.plans import changelog, colocated, daily_reports, in_flight, inventory
 from starmart.plans.warehouse import MART_NAMES, REPORT_NAMES, Reports, Warehouse
 from starmart.session import scratch_path
 from starmart.sources.tables import Tables, app_id
@@ -65,6 +65,11 @@ def _quality(name: str) -> Query:
     return q
 
 
+def quality_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite as the daily run makes it: each mart computed and written once."""
+    return in_flight.write_and_test(spark, warehouse(spark, sf_dir).marts(), scratch_path(spark, "marts"))
+
+
 CHANGELOG: dict[str, Query] = {
     "upsert_latest": changelog.upsert_latest,
     "load_drift": changelog.load_drift,
@@ -136,6 +141,7 @@ def queries() -> dict[str, Query]:
         out[f"{n}_colocated"] = _colocated(n)
     for n in daily_reports.REPORTS:
         out[n] = _daily(n)
+    out["quality_in_flight"] = quality_in_flight
     out["fct_inventory_daily_maintained"] = fct_inventory_daily_maintained
     out["payment_conservation"] = payment_conservation
     out.update(CHANGELOG)
