@@ -50,8 +50,9 @@ def document_words(docs: DataFrame) -> DataFrame:
 
 
 def term_counts(words: DataFrame, terms: DataFrame) -> DataFrame:
-    """How often each of the terms stands in the documents."""
-    return (words.select(F.explode("words").alias("word")).select(F.lower("word").alias("term"))
+    """How often each of the terms stands in the documents. An inner explode would
+    have Spark infer a filter on the words and extract them once more for it."""
+    return (words.select(F.explode_outer("words").alias("word")).select(F.lower("word").alias("term"))
             .join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n")))
 
 
