@@ -106,13 +106,13 @@ def successors(docs: DataFrame) -> DataFrame:
     return numbered.join(taker, "at").select("doc_id", "text_key", "to_id", "to_key", "to_take")
 
 
-PACKED = "doc_id long, text_key long, fingerprint string, packed binary"
-STARTS = "to_id long, to_key long, start binary, next_fingerprint string"
+PACKED = "known_id long, no_id boolean, text_key long, fingerprint string, packed binary"
+STARTS = "to_id long, to_none boolean, to_key long, start binary, next_fingerprint string"
 MADE = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64()}
+    kinds = {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64()}
     fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) or [()] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
@@ -125,23 +125,29 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     Whole texts move once, by their key and packed, as their fingerprints are
     made where they are read. A document's start (a third of a text at most)
-    and its fingerprint then move to the document before it.
+    and its fingerprint then move to the document before it, also once: keys
+    are columns without nulls, by which starts are both told apart and joined.
+    Both joins read the same columns of the packed texts, or each would deal its own.
     """
+    def key(doc_id: str, known: str, none: str) -> list:
+        return [F.coalesce(doc_id, F.lit(0).cast("long")).alias(known), F.col(doc_id).isNull().alias(none)]
+
     order = materialize(successors(docs), "lz-next")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
-                      F.coalesce("text", F.lit("")).alias("text"))
+    order = order.select(*key("doc_id", "known_id", "no_id"), "text_key", *key("to_id", "to_id", "to_none"), "to_key", "to_take")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).select(
+        *key("doc_id", "known_id", "no_id"), F.xxhash64("text").alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
 
     def pack(batches):
         coder = zstandard.ZstdCompressor()
         for batch in batches:
-            yield _batch(PACKED, [(i, k, render(signature(phrases(t))), coder.compress(t.encode()))
-                                  for i, k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)])
+            yield _batch(PACKED, [(i, none, k, render(signature(phrases(t))), coder.compress(t.encode()))
+                                  for i, none, k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)])
 
     def cut(batches):
         coder, reader = zstandard.ZstdCompressor(), zstandard.ZstdDecompressor()
         for batch in batches:
-            yield _batch(STARTS, [(i, k, coder.compress(reader.decompress(p).decode()[:n].encode()), f)
-                                  for i, k, n, p, f in zip(*(c.to_pylist() for c in batch.columns), strict=True)])
+            yield _batch(STARTS, [(i, none, k, coder.compress(reader.decompress(p).decode()[:n].encode()), f)
+                                  for i, none, k, n, p, f in zip(*(c.to_pylist() for c in batch.columns), strict=True)])
 
     def edit(batches):
         reader = zstandard.ZstdDecompressor()
@@ -155,8 +161,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
             yield _batch(MADE, rows)
 
     packed = in_arrow(own, pack, PACKED)
-    at = packed["doc_id"].eqNullSafe(order["doc_id"]) & (packed["text_key"] == order["text_key"])
-    linked = packed.join(order, at).select("to_id", "to_key", "to_take", "packed", "fingerprint")
-    starts = in_arrow(linked, cut, STARTS).dropDuplicates(["to_id", "to_key"])
-    both = packed.join(starts, packed["doc_id"].eqNullSafe(starts["to_id"]) & (packed["text_key"] == starts["to_key"]))
-    return in_arrow(both.select("doc_id", "packed", "fingerprint", "start", "next_fingerprint"), edit, MADE)
+    linked = packed.join(order, ["known_id", "no_id", "text_key"]).select("to_id", "to_none", "to_key", "to_take", "packed", "fingerprint")
+    starts = in_arrow(linked, cut, STARTS).dropDuplicates(["to_id", "to_none", "to_key"])
+    both = packed.join(starts, (F.col("known_id") == F.col("to_id")) & (F.col("no_id") == F.col("to_none")) & (F.col("text_key") == F.col("to_key")))
+    doc_id = F.when(~F.col("no_id"), F.col("known_id")).alias("doc_id")
+    return in_arrow(both.select(doc_id, "packed", "fingerprint", "start", "next_fingerprint"), edit, MADE)
