@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.session import scratch_path
+from starmart.session import discard_path, freed_shuffles, scratch_path
 
 #: Words of a text without case: runs of ASCII letters and digits and of
 #: anything outside ASCII. Spark keeps the case of the words it extracts with
@@ -24,11 +24,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-#: Has Spark delete a query's shuffle files when it ends, not when the driver
-#: happens to collect garbage.
-_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
@@ -38,12 +33,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(_FREE_SHUFFLES, None)
-    spark.conf.set(_FREE_SHUFFLES, "true")
-    try:
+    with freed_shuffles(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(_FREE_SHUFFLES) if before is None else spark.conf.set(_FREE_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
@@ -52,9 +43,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete the files of materialized tables that nothing reads any more."""
     for table in tables:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard_path(table.sparkSession, table.scratch)
 
 
 _SHIPPED: set[str] = set()
@@ -83,6 +72,13 @@ def in_arrow(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def slices(batches, rows: int):
+    """The batches in parts of at most so many rows, where a row makes much."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def ascii_lower(col):
     """Lower-case A-Z and nothing else."""
     return F.translate(col, UPPER, LOWER)

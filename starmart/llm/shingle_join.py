@@ -41,11 +41,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import WordHashes, discard, in_arrow, lists, materialize, mix
+from starmart.llm.common import WordHashes, discard, in_arrow, lists, materialize, mix, slices
 from starmart.llm.components import components
 
 #: Upper end of a size class over its lower end.
 CLASS_RATIO = 1.5
+#: Rows of a batch that a task takes at once: each brings sets and prefixes.
+SLICE_ROWS = 512
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -181,7 +183,7 @@ def _classes(docs: DataFrame, k: int) -> tuple[DataFrame, Popular]:
                 [pa.nulls(len(n), pa.int64()), pa.array(n), pa.array(shingle), pa.nulls(len(n), pa.int64())],
                 names=["doc_id", "n_shingles", "key_a", "key_b"])
 
-        for batch in batches:
+        for batch in slices(batches, SLICE_ROWS):
             sets = [shingles(h, k) for h in hashes.of(batch.column(1).to_pylist())]
             keys = np.array([(xxhash.xxh3_64_intdigest(s.tobytes()), xxhash.xxh3_64_intdigest(s.tobytes(), 1)) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -237,7 +239,7 @@ def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, cells=None) ->
 
     def run(batches):
         hashes = WordHashes(lower=True)
-        for batch in batches:
+        for batch in slices(batches, SLICE_ROWS):
             made = [bounds.signatures(shingles(h, k), popular.value) for h in hashes.of(batch.column(1).to_pylist())]
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(m) for m in made])
             flat = np.concatenate(made) if made else np.empty(0, np.int64)
@@ -267,7 +269,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         hashes = WordHashes(lower=True)
-        for batch in batches:
+        for batch in slices(batches, SLICE_ROWS):
             made = [shingles(h, k).view(np.int64) for h in hashes.of(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), lists(made, pa.int64())], names=["doc_id", "shingles"])
 
@@ -300,7 +302,7 @@ def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> Da
     """
     def run(batches):
         known = popular.value
-        for batch in batches:
+        for batch in slices(batches, SLICE_ROWS):
             facts, token, place, own = [], [], [], []
             pivots = mix(batch.column("pivot").to_numpy(zero_copy_only=False).view(np.uint64) + _ODD[2])
             for at, p, x in zip(pivots, *(_arrays(batch.column(f"{c}_set")) for c in ("pivot", "doc")), strict=True):
@@ -337,7 +339,7 @@ def _shown(labelled: DataFrame, met) -> DataFrame:
     """One row for each token of a document that may be among those met."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, SLICE_ROWS):
             tokens = batch.column("token")
             row = np.repeat(np.arange(batch.num_rows), tokens.value_lengths().to_numpy(zero_copy_only=False))
             cell = tokens.flatten().to_numpy(zero_copy_only=False)
@@ -376,7 +378,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """The links among the pairs."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, SLICE_ROWS):
             keep = [bool(bounds.linked(len(np.intersect1d(a, b, assume_unique=True)), len(a) + len(b)))
                     for a, b in zip(*(_arrays(batch.column(f"{c}_set")) for c in ("one", "two")), strict=True)]
             yield pa.RecordBatch.from_arrays(
