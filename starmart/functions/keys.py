@@ -42,3 +42,15 @@ def scd_id(key, updated_at) -> Column:
     """Snapshot row id: ``md5(coalesce(key,'') || '|' || coalesce(updated_at,''))``."""
     return F.md5(F.concat(F.coalesce(text(key), F.lit("")), F.lit("|"),
                           F.coalesce(text(updated_at), F.lit(""))))
+
+
+def packed(key) -> Column:
+    """A key for a shuffle: the 16 bytes of an md5, any other text as it is."""
+    digest = F.unhex(as_col(key))
+    is_digest = F.lower(F.hex(digest)).eqNullSafe(as_col(key))
+    return F.struct(F.when(is_digest, digest).alias("digest"), F.when(~is_digest, as_col(key)).alias("text"))
+
+
+def unpacked(key) -> Column:
+    """The text of a :func:`packed` key."""
+    return F.coalesce(F.lower(F.hex(as_col(key)["digest"])), as_col(key)["text"])

@@ -17,13 +17,14 @@ not by the rows. Rows without a day have a folder too.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.plans.versions import _FS
+from starmart.session import freed_shuffles
 
 FOLDER = "_from"
 _NONE = "__HIVE_DEFAULT_PARTITION__"
@@ -66,21 +67,43 @@ class DayTable:
         rows = self._scan(days).drop(FOLDER)
         return rows if days is None else rows.where(_among(self.day, days))
 
-    def replace(self, rows: DataFrame, days: Collection[dt.date | None] | None = None) -> None:
-        """``rows`` take the place of the given days' rows (None: of the whole table).
+    def _first(self) -> Column:
+        return F.col(self.day) if self.period == "day" else F.trunc(self.day, self.period)
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.schema.names).withColumn(FOLDER, self._first())
+
+    def _write(self, rows: DataFrame, mode: str, overwrite: str) -> None:
+        with freed_shuffles(self.spark):
+            (rows.write.mode(mode).option("partitionOverwriteMode", overwrite).option("compression", "zstd")
+             .partitionBy(FOLDER).parquet(self.path))
+
+    def append(self, rows: DataFrame) -> None:
+        """Add rows of any days; the files there stay."""
+        self._write(self._placed(rows).hint("rebalance", FOLDER), "append", "static")
+
+    def replace(self, rows: DataFrame, days: Collection[dt.date | None] | None = None, same: DataFrame | None = None,
+                last: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """``rows``, and stored rows ``same`` of these days that stay, take the
+        place of the given days' rows (None: of the whole table). ``last`` makes
+        the columns that need no shuffle, after the rows have been rebalanced.
 
         ``rows`` outside the given days are an error of the caller. The write
-        rebalances by folder, so that several tasks write a hot one.
+        rebalances them by folder, so that several tasks write a hot one; what
+        is read from the table lies by folders already and isn't shuffled.
         """
-        first = F.col(self.day) if self.period == "day" else F.trunc(self.day, self.period)
-        new = rows.select(*self.schema.names).withColumn(FOLDER, first)
+        if last is None:
+            new = self._placed(rows).hint("rebalance", FOLDER)
+        else:
+            new = last(rows.withColumn(FOLDER, self._first()).hint("rebalance", FOLDER)).select(*self.schema.names, FOLDER)
         if days is not None:
             if not days:
                 return
             new = new.unionByName(self._scan(days).where(~_among(self.day, days)))
+            if same is not None:
+                new = new.unionByName(self._placed(same))
         before = {} if days is None else {d: self._files(d) for d in self._folders(days)}
-        (new.hint("rebalance", FOLDER).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static" if days is None else "dynamic").partitionBy(FOLDER).parquet(self.path))
+        self._write(new, "overwrite", "static" if days is None else "dynamic")
         for d, names in before.items():  # a folder without rows wasn't overwritten: its last rows went
             if names and self._files(d) == names:
                 self._fs.fs.delete(self._folder(d), True)

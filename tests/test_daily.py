@@ -182,3 +182,25 @@ def test_movements_without_an_id_fail(spark, tmp_dir, dims):
     moves = spark.createDataFrame([(None, 1, 1, "in", 2, at(1, 1), at(1, 1))], MOVES)
     with pytest.raises(ValueError):
         inventory.DailyInventory(spark, f"{tmp_dir}/inv", moves.schema, *dims).apply(moves)
+
+
+def test_new_movements_are_added_and_only_repeated_ids_are_grouped(spark, tmp_dir, dims, monkeypatch):
+    first = [(f"m{i}", 1 + i % 2, 1, "in", i, at(1, 1 + i % 5), at(1, 1)) for i in range(20)]
+    more = [(f"n{i}", 1, 1, "out", i, at(1, 1 + i % 5), at(1, 1)) for i in range(20)]
+    fixed = [("m3", 2, 1, "in", 50, at(2, 1), at(5, 1)), ("n4", 1, 1, "in", 60, at(1, 3), at(5, 1)), ("n4", 1, 1, "in", 70, at(2, 2), at(6, 1)), ("o", 1, 1, "in", 1, at(3, 1), None)]
+    found = []
+    for bar in (inventory.BROADCAST_HASHES, 1):  # repeated ids told apart, or all rows grouped
+        monkeypatch.setattr(inventory, "BROADCAST_HASHES", bar)
+        t = inventory.DailyInventory(spark, f"{tmp_dir}/inv{bar}", spark.createDataFrame(first, MOVES).schema, *dims)
+        t.apply(spark.createDataFrame(first, MOVES))
+        before = files(t.movements.path)
+        assert t.apply(spark.createDataFrame(more, MOVES)) == {day(1, d) for d in range(1, 6)}
+        assert before < files(t.movements.path)  # nothing stored was written again
+        assert t.apply(spark.createDataFrame(fixed, MOVES)) == {day(2, 1), day(1, 4), day(1, 3), day(2, 2), day(1, 5), day(3, 1)}
+        assert "inventory_sk" not in t.fact.schema.names  # made when read
+        assert t.movements.read().count() == 41
+        found.append(sorted(map(str, t.read().collect())))
+    rows = {x[0]: x for x in first + more + fixed}
+    full = inventory.DailyInventory(spark, f"{tmp_dir}/full", t.movements.schema, *dims)
+    full.apply(spark.createDataFrame(list(rows.values()), MOVES))
+    assert found[0] == found[1] == sorted(map(str, full.read().collect()))

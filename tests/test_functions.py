@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starmart.functions import calendar as cal
 from starmart.functions.casts import to_bool, to_date, to_decimal, to_int, to_timestamp, to_uuid
 from starmart.functions.decimal import _rounded_quotient, exact_avg, exact_ratio, round_sum
+from starmart.functions import keys
 from starmart.functions.keys import scd_id, surrogate_key
 
 
@@ -122,3 +123,10 @@ def test_average_of_four_digits_is_rounded_once(spark):
     # 0.00499999... in 13 digits: rounding to 12 digits first would give 0.0050 and then 0.01
     df = spark.createDataFrame([("0.0049",)] * 3 + [("0.0053",)], "x string").selectExpr("cast(x as decimal(18,4)) x")
     assert str(df.agg(exact_avg("x")).first()[0]) == "0.01" and str(df.limit(3).agg(exact_avg("x")).first()[0]) == "0.00"
+
+
+def test_packed_keys_come_back(spark):
+    texts = [None, "", "p1", "abc", "0abc", "ABCD", "d41d8cd98f00b204e9800998ecf8427e", "not hex", "é"]
+    rows = spark.createDataFrame([(t,) for t in texts], "k string").select("k", keys.packed("k").alias("p"))
+    assert all(r.k == r.u for r in rows.select("k", keys.unpacked("p").alias("u")).collect())
+    assert {r.k for r in rows.where("p.text IS NULL").collect()} >= {"0abc", "d41d8cd98f00b204e9800998ecf8427e"}
