@@ -12,9 +12,9 @@ failures)`` rows:
   anti-joined once against the tagged parent keys (never multiplies rows);
 * rules: the four business rules, each a filter + count.
 
-``run_suite`` (Q-8) folds not-null, unique and the row rules of a table into
-one two-level aggregate, so the suite computes each table about twice
-instead of once per check. Nothing is collected: the result is a small
+``run_suite`` (Q-8) folds all checks of a table but the leak check into one
+two-level aggregate, so the suite computes each table once instead of once per
+check. Nothing is collected: the result is a small
 DataFrame the caller can write, show or gate a publish on.
 """
 
@@ -26,6 +26,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions.keys import packed
+
 RESULT_COLUMNS = ("test", "model", "column_name", "failures")
 
 
@@ -101,7 +103,8 @@ def unique_checks(marts: dict[str, DataFrame], spec=None) -> DataFrame:
     frames = []
     for model, cols in (spec or UNIQUE).items():
         for c in cols:
-            dup = (marts[model].where(F.col(c).isNotNull()).groupBy(c).count()
+            key = packed(c) if marts[model].schema[c].dataType.simpleString() == "string" else F.col(c)
+            dup = (marts[model].where(F.col(c).isNotNull()).groupBy(key.alias("key")).count()
                    .where(F.col("count") > 1))
             frames.append(dup.agg(F.count(F.lit(1)).alias("n"))
                           .select(F.inline(F.array(_row("unique", model, c, F.col("n"))))))
@@ -188,42 +191,45 @@ def leak_check(marts: dict[str, DataFrame]) -> DataFrame:
         F.inline(F.array(_row(name, _RULE_MODEL[name], None, F.col("n")))))
 
 
-def _table_pass(model: str, df: DataFrame, not_null: list[str], unique: str,
+def _table_pass(model: str, marts: dict[str, DataFrame], not_null: list[str], unique: list[str], rels: list[Relationship],
                 rules: list) -> DataFrame:
-    """Not-null, unique and row rules of one table in one two-level aggregate:
-    group by the unique column while counting NULLs and rule hits map-side,
-    then count the duplicated values and add the rest up."""
-    first = df.groupBy(unique).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_nn_{c}") for c in not_null],
-        *[F.count_if(F.coalesce(pred(), F.lit(False))).alias(f"_r{i}") for i, (_, pred) in enumerate(rules)])
-    total = first.agg(
-        F.count_if(F.col(unique).isNotNull() & (F.col("_n") > 1)).alias("_dups"),
-        *[F.coalesce(F.sum(f"_nn_{c}"), F.lit(0)).alias(f"_nn_{c}") for c in not_null],
-        *[F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"_r{i}") for i in range(len(rules))])
-    rows = ([_row("not_null", model, c, F.col(f"_nn_{c}")) for c in not_null]
-            + [_row("unique", model, unique, F.col("_dups"))]
-            + [_row(name, model, None, F.col(f"_r{i}")) for i, (name, _) in enumerate(rules)])
-    return total.select(F.inline(F.array(*rows)))
+    """All checks of one table from one pass over it.
+
+    Every tested column gives a ``(column, value)`` pair, the first one carries
+    the hits of the row rules. Pairs are counted map-side and after one shuffle:
+    pairs without a value are NULLs, a value of a unique column met more than
+    once is a repeated one, and the values of foreign keys meet the tagged
+    parent keys, which lie by the same pairs."""
+    columns = list(dict.fromkeys([*unique, *not_null, *[r.column for r in rels]]))
+    place = {c: i for i, c in enumerate(columns)}
+    hits = [f"_r{i}" for i in range(len(rules))]
+    pairs = marts[model].select(F.inline(F.array(*[F.struct(
+        F.lit(place[c]).alias("_c"), F.col(c).cast("string").alias("_v"),
+        *[(F.coalesce(pred(), F.lit(False)) if place[c] == 0 else F.lit(False)).cast("int").alias(h)
+          for h, (_, pred) in zip(hits, rules, strict=True)]) for c in columns])))
+    counted = pairs.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(h).alias(h) for h in hits])
+    if rels:
+        parents = _union([marts[r.to_model].select(F.lit(place[r.column]).alias("_c"), F.col(r.to_column).cast("string").alias("_v"))
+                          for r in rels]).distinct().withColumn("_parent", F.lit(True))
+        counted = counted.join(parents, ["_c", "_v"], "left")
+    of = {c: F.col("_c") == i for c, i in place.items()}
+    known = F.col("_v").isNotNull()
+    rows = ([_row("not_null", model, c, F.coalesce(F.sum(F.when(of[c] & ~known, F.col("_n"))), F.lit(0))) for c in not_null]
+            + [_row("unique", model, c, F.count_if(of[c] & known & (F.col("_n") > 1))) for c in unique]
+            + [_row("relationships", model, r.column, F.coalesce(F.sum(F.when(of[r.column] & known & F.col("_parent").isNull(), F.col("_n"))), F.lit(0)))
+               for r in rels]
+            + [_row(name, model, None, F.coalesce(F.sum(h), F.lit(0))) for h, (name, _) in zip(hits, rules, strict=True)])
+    return counted.agg(*[r.alias(f"row{i}") for i, r in enumerate(rows)]).select(F.inline(F.array(*[F.col(f"row{i}") for i in range(len(rows))])))
 
 
 def run_suite(marts: dict[str, DataFrame]) -> DataFrame:
     """Q-8: all 58 checks as one result table.
 
-    Per table one pass for its not-null, unique and row-rule checks, one pass
-    per child table for its relationships, and the leak check — instead of
-    one computation of a table per check.
+    Each table is computed once for its not-null, unique, relationship and
+    row-rule checks; parent keys and the leak check read their tables besides.
     """
-    frames = []
-    for model, cols in NOT_NULL.items():
-        uniq = UNIQUE.get(model, [])
-        if len(uniq) == 1:
-            frames.append(_table_pass(model, marts[model], cols, uniq[0], _ROW_RULES.get(model, [])))
-        else:
-            frames.append(not_null_checks(marts, {model: cols}))
-            if uniq:
-                frames.append(unique_checks(marts, {model: uniq}))
-    frames.append(relationship_checks(marts))
+    frames = [_table_pass(model, marts, cols, UNIQUE.get(model, []), [r for r in RELATIONSHIPS if r.model == model], _ROW_RULES.get(model, []))
+              for model, cols in NOT_NULL.items()]
     frames.append(leak_check(marts))
     return _union(frames)
 
