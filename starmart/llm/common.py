@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from starmart.session import discard_path, freed_shuffles, scratch_path
 
 #: Words of a text without case: runs of ASCII letters and digits and of
-#: anything outside ASCII. Spark keeps the case of the words it extracts with
+#: anything outside ASCII. The characters between words are written one by one,
+#: as Java's regex looks up such a class in a table but tries ranges in turn.
+#: Spark keeps the case of the words it extracts with
 #: this pattern, so that A-Z alone can be lower-cased where words are compared.
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+CASED_WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
