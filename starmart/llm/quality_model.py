@@ -42,21 +42,28 @@ a document with several labels is trusted only if all of them are good.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import discard, in_arrow, materialize
+from starmart.llm.common import discard, in_arrow, materialize, mix
 
 ORDER = 5
 BITS = 12
 PAD = 0xFFF
 SYMBOLS = 0x530 + 2048
-#: N-grams in a shard of the score table: 16 bytes each in a task.
-SHARD_ROWS = 4_000_000
+#: N-grams in a shard of the score table, which passes through the driver:
+#: 24 bytes each there.
+SHARD_ROWS = 1_000_000
+#: Shards that a task holds at once: 16 bytes an n-gram, in half-empty tables.
+SHARDS_HELD = 4
 QUANTILE = 0.99
 FOLDS = 3
+#: Slices of the documents that are joined with their labels one by one.
+SLICES = 4
 #: For n-grams whose contexts leave nothing to others.
 LEAST_P = 1e-12
 #: Trusted texts of a language that resolve the quantile by themselves.
@@ -72,6 +79,8 @@ TOXIC = "\x02"
 #: Characters of the window that contrasts are taken over.
 WINDOW = 14
 _CHUNK = 1 << 21
+#: N-grams that a task counts before it gives them away: 16 bytes each.
+_HELD = 1 << 21
 
 
 def grams(text: str) -> np.ndarray:
@@ -85,30 +94,100 @@ def grams(text: str) -> np.ndarray:
     return out
 
 
+def _summed(tallies: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams, sorted, and the sums of their counts in all tallies."""
+    gram, n = (np.concatenate(c) for c in zip(*tallies, strict=True))
+    order = np.argsort(gram, kind="stable")
+    gram, n = gram[order], n[order]
+    first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
+    return gram[first], np.add.reduceat(n, first) if len(gram) else n
+
+
+def _packed(gram: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted n-grams and their counts in few bytes: the steps between the
+    n-grams, and the counts, each compressed with bytes of a kind side by side."""
+    planes = [np.diff(gram, prepend=np.int64(0)).view(np.uint8).reshape(-1, 8).T, n.astype(np.int64).view(np.uint8).reshape(-1, 8).T]
+    return pa.compress(np.ascontiguousarray(np.concatenate(planes)).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(data, 16 * size, codec="zstd", asbytes=True), np.uint8).reshape(16, size)
+    step, n = (np.ascontiguousarray(part.T).view(np.int64).reshape(-1) for part in (planes[:8], planes[8:]))
+    return np.cumsum(step), n
+
+
 def _tallies(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n): n-grams of all texts, as often as tasks gave them."""
+    """(lot, packed): n-grams of all texts and how often they are met, packed by
+    lots, of which each shuffle partition has one; what starts with the same
+    symbols is of one lot. A task gives one row for each lot, unless it meets
+    more than ``_HELD`` different n-grams."""
+    lots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    kind = pa.list_(pa.struct([("lang", pa.string()), ("size", pa.int64()), ("grams", pa.binary())]))
 
     def run(batches):
-        held: dict[str, list[np.ndarray]] = {}
+        fresh: dict[str, list[np.ndarray]] = {}
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         size = 0
 
+        def count():
+            for lang, parts in fresh.items():
+                new = np.unique(np.concatenate(parts), return_counts=True)
+                held[lang] = _summed([held[lang], new]) if lang in held else new
+            fresh.clear()
+
         def flush():
-            for lang, parts in held.items():
-                gram, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n)], names=["lang", "gram", "n"])
+            made: dict[int, list[dict]] = {}
+            for lang, (gram, n) in held.items():
+                lot = (mix((gram >> 2 * BITS).view(np.uint64)) % np.uint64(lots)).astype(np.int64)
+                order = np.argsort(lot, kind="stable")
+                lot, gram, n = lot[order], gram[order], n[order]
+                own, first = np.unique(lot, return_index=True)
+                for at, i, j in zip(own.tolist(), first.tolist(), [*first[1:].tolist(), len(lot)], strict=True):
+                    made.setdefault(at, []).append({"lang": lang, "size": j - i, "grams": _packed(gram[i:j], n[i:j])})
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int64()), pa.array(list(made.values()), kind)], names=["lot", "packed"])
             held.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if text:
-                    held.setdefault(lang, []).append(grams(text))
+                    fresh.setdefault(lang, []).append(grams(text))
                     size += len(text)
                     if size >= _CHUNK:
-                        yield from flush()
+                        count()
                         size = 0
+                        if sum(len(gram) for gram, _ in held.values()) >= _HELD:
+                            yield from flush()
+        count()
         yield from flush()
 
-    return in_arrow(docs.select("lang", "text"), run, "lang string, gram long, n long")
+    return in_arrow(docs.select("lang", "text"), run, "lot long, packed array<struct<lang: string, size: long, grams: binary>>")
+
+
+def _merged(tallies: DataFrame, cuts) -> DataFrame:
+    """(lang, gram, n): the rows that ``cuts`` makes of the sums of each lot, a
+    dictionary from the names in the tallies to their n-grams and counts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        parts = table.column("packed").combine_chunks().flatten()
+        names = parts.field("lang").to_pylist()
+        for lang in sorted(set(names)):
+            own, size = [], 0
+            for i in [i for i, name in enumerate(names) if name == lang]:
+                own.append(_unpacked(parts[i]["grams"].as_py(), parts[i]["size"].as_py()))
+                size += len(own[-1][0])
+                if size >= _HELD:
+                    own, size = [_summed(own)], 0
+            sums[lang] = _summed(own)
+        made = list(cuts(sums))
+        return pa.table({
+            "lang": pa.concat_arrays([pa.array([name] * len(g), pa.string()) for name, g, _ in made] or [pa.array([], pa.string())]),
+            "gram": pa.array(np.concatenate([g for _, g, _ in made] or [np.empty(0, np.int64)])),
+            "n": pa.array(np.concatenate([n for _, _, n in made] or [np.empty(0, np.int64)]))})
+
+    return tallies.groupBy("lot").applyInArrow(run, "lang string, gram long, n long")
 
 
 def _languages(docs: DataFrame, own: list[str] | tuple = ()) -> DataFrame:
@@ -142,13 +221,29 @@ def marked(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFr
     return known.unionByName(rows.where("doc_id IS NULL").select("*", *nulls))
 
 
+def _marked_slices(docs: DataFrame, labels: DataFrame, row: str | None = None) -> list[DataFrame]:
+    """The rows of :func:`marked`, written slice by slice of the doc_ids: texts
+    meet their labels by shuffle, and so only a slice of them is on disk twice."""
+    own = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(SLICES))
+    return [materialize(marked(docs.where(own == k), labels.where(own == k), row), "marked") for k in range(SLICES)]
+
+
 def _fold_counts(learned: DataFrame) -> DataFrame:
     """(lang, gram, n) of all texts of a language, and of all but those of each fold."""
     keyed = learned.select(F.concat("lang", F.col("fold").cast("string")).alias("lang"), "text")
-    rows = _tallies(keyed).withColumn("fold", F.right("lang", F.lit(1)).cast("int")).withColumn("lang", F.expr("left(lang, length(lang) - 1)"))
-    sums = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"), *(F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("n"))), F.lit(0)).alias(f"n{f}") for f in range(FOLDS)))
-    cuts = [F.struct("lang", "n"), *(F.struct(F.concat("lang", F.lit(f"{WITHOUT}{f}")).alias("lang"), (F.col("n") - F.col(f"n{f}")).alias("n")) for f in range(FOLDS))]
-    return sums.select("gram", F.explode(F.array(*cuts)).alias("cut")).where("cut.n > 0").select("cut.lang", "gram", "cut.n")
+
+    def cuts(sums):
+        nothing = np.empty(0, np.int64)
+        for lang in sorted({name[:-1] for name in sums}):
+            folds = [sums.get(f"{lang}{f}", (nothing, nothing)) for f in range(FOLDS)]
+            gram, n = _summed(folds)
+            yield lang, gram, n
+            for f, (own, m) in enumerate(folds):
+                rest = n.copy()
+                rest[np.searchsorted(gram, own)] -= m
+                yield f"{lang}{WITHOUT}{f}", gram[rest > 0], rest[rest > 0]
+
+    return _merged(_tallies(keyed), cuts)
 
 
 def train(docs: DataFrame, labels: DataFrame, out: int = 0) -> list[tuple[DataFrame, DataFrame]]:
@@ -173,30 +268,42 @@ def train_marked(rows: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         of = [F.count(F.when(F.col("n") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)]
         y = F.expr("try_divide(n1, n1 + 2 * n2)")
         d = {i: i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")) for i in (1, 2, 3)}
-        discounts = counts[n].groupBy("lang").agg(*of).select("lang", *(
-            F.when(d[i].isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(float(i)), d[i]))).otherwise(0.5).alias(f"d{i}") for i in (1, 2, 3)))
-        rows = counts[n].join(F.broadcast(discounts), "lang")  # a row for each language
-        rows = rows.withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
-        rows = rows.withColumn("context", F.shiftright("gram", BITS))
-        contexts = rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("back"))
-        seen = rows.join(contexts, ["lang", "context"]).withColumn("own", (F.col("n") - F.col("d")) / F.col("total"))
-        if n == 1:
-            seen = seen.select("lang", "gram", (F.col("own") + F.col("back") / SYMBOLS).alias("p"))
-        else:
+        discounts = F.broadcast(materialize(counts[n].groupBy("lang").agg(*of).select("lang", *(
+            F.when(d[i].isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(float(i)), d[i]))).otherwise(0.5).alias(f"d{i}") for i in (1, 2, 3))), "kn-discounts"))  # a row for each language
+        # shuffles carry counts, which are small; discounts come in behind them
+        contexts = (counts[n].groupBy("lang", F.shiftright("gram", BITS).alias("context"))
+                    .agg(F.sum("n").alias("total"), F.count(F.when(F.col("n") == 1, 1)).alias("c1"), F.count(F.when(F.col("n") == 2, 1)).alias("c2"), F.count(F.when(F.col("n") > 2, 1)).alias("c3"))
+                    .join(discounts, "lang").select("lang", "context", "total", F.expr("(c1 * d1 + c2 * d2 + c3 * d3) / total").alias("back")))
+        contexts = materialize(contexts, "kn-back")
+        of = contexts.select(F.col("lang").alias("l"), F.col("context").alias("c"), "total", "back")
+        seen = (counts[n].join(of, (F.col("lang") == F.col("l")) & (F.shiftright("gram", BITS) == F.col("c")))
+                .select("lang", "gram", "n", "total", "back"))
+        if n > 1:
             below = out[-1][0].select(F.col("lang").alias("l"), F.col("gram").alias("low"), F.col("p").alias("q"))
             low = F.col("gram").bitwiseAND(F.lit((1 << BITS * (n - 1)) - 1))
             seen = (seen.join(below, (F.col("lang") == F.col("l")) & (low == F.col("low")))
-                    .select("lang", "gram", (F.col("own") + F.col("back") * F.col("q")).alias("p")))
-        out.append((materialize(seen, "kn-seen"), materialize(contexts.select("lang", "context", "back"), "kn-back")))
+                    .select("lang", "gram", "n", "total", (F.col("back") * F.col("q")).alias("rest")))
+        else:
+            seen = seen.withColumn("rest", F.col("back") / SYMBOLS)
+        own = F.expr("(n - CASE n WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END) / total")
+        seen = seen.join(discounts, "lang").select("lang", "gram", (own + F.col("rest")).alias("p"))
+        out.append((materialize(seen, "kn-seen"), contexts.drop("total")))
+        out[-1][1].scratch = contexts.scratch
         discard(counts[n])
     return out
 
 
 def gram_scores(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """(lang, gram, logp, contrast) of every distinct n-gram of the documents
-    whose language has a model: the longest seen ending, times the back-off
-    weights of the contexts above it; and by how much the toxic model's is over."""
-    rows = _tallies(_languages(docs)).select("lang", "gram").distinct()
+    whose language has a model, and by how much the toxic model's is over."""
+    return _contrasts(_gram_logps(docs, model))
+
+
+def _gram_logps(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(lang, gram, logp) of every distinct n-gram of the documents, by their
+    language's model and the toxic one: the longest seen ending, times the
+    back-off weights of the contexts above it."""
+    rows = _merged(_tallies(_languages(docs)), lambda sums: ((lang, gram, n) for lang, (gram, n) in sums.items())).select("lang", "gram")
     rows = rows.select(F.explode(F.array("lang", F.concat(F.lit(TOXIC), "lang"))).alias("lang"), "gram")
     rows = rows.join(F.broadcast(model[0][1].select("lang").distinct()), "lang", "left_semi")
     rows = materialize(rows.withColumn("weight", F.lit(1.0)), "kn-open")
@@ -217,6 +324,10 @@ def gram_scores(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> Da
         out = out.unionByName(part)
     out = materialize(out, "kn-logp")
     discard(*held)
+    return out
+
+
+def _contrasts(out: DataFrame) -> DataFrame:
     toxic = out.where(F.col("lang").startswith(TOXIC)).select(F.expr("substring(lang, 2)").alias("lang"), "gram", F.col("logp").alias("other"))
     own = out.where(~F.col("lang").startswith(TOXIC))
     scores = materialize(own.join(toxic, ["lang", "gram"], "left").select("lang", "gram", "logp", (F.col("other") - F.col("logp")).alias("contrast")), "kn-scores")
@@ -273,20 +384,29 @@ def judged(rows: DataFrame, scores: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     shards = max(1, -(-scores.count() // SHARD_ROWS))
     parts = []
+    slim = scores.select("lang", "gram", *(F.col(c).cast("float").alias(c) for c in ("logp", "contrast")))
     for shard in range(shards):
-        own = scores.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == shard).toArrow()  # SHARD_ROWS rows
-        parts.append(spark.sparkContext.broadcast({lang: _columns(own, lang) for lang in own.column("lang").unique().to_pylist()}))
+        own = slim.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == shard).toArrow()  # SHARD_ROWS rows
+        columns = {lang: _columns(own, lang) for lang in own.column("lang").unique().to_pylist()}
+        del own
+        parts.append(spark.sparkContext.broadcast(columns))
+        del columns
+    groups = [parts[at:at + SHARDS_HELD] for at in range(0, shards, SHARDS_HELD)]
     kept = [c for c in rows.columns if c not in ("text", "model")]
 
     def run(batches):
         held = {}
 
-        def tables(shard):
-            if shard not in held:
+        def tables(group):
+            if group not in held:
                 held.clear()
-                held[shard] = {lang: Lookup(*columns) for lang, columns in parts[shard].value.items()}
-                vars(parts[shard]).pop("_value", None)  # read again from its file if needed
-            return held[shard]
+                found: dict[str, list] = {}
+                for part in groups[group]:
+                    for lang, columns in part.value.items():
+                        found.setdefault(lang, []).append(columns)
+                    vars(part).pop("_value", None)  # read again from its file if needed
+                held[group] = {lang: Lookup(*(np.concatenate(c) for c in zip(*of, strict=True))) for lang, of in found.items()}
+            return held[group]
 
         for batch in batches:
             models, texts = batch.column("model").to_pylist(), batch.column("text").to_pylist()
@@ -301,10 +421,10 @@ def judged(rows: DataFrame, scores: DataFrame) -> DataFrame:
                 gram = {m: (np.concatenate(g), np.cumsum([0, *map(len, g)])) for m, g in gram.items()}
                 logp = {m: np.zeros((len(g), 2), np.float64) for m, (g, _) in gram.items()}
                 met = {m: np.zeros(len(g), bool) for m, (g, _) in gram.items()}
-                for shard in range(shards):
+                for group in range(len(groups)):
                     for m, (g, _) in gram.items():
-                        if m in tables(shard):
-                            value, has = tables(shard)[m].values(g)
+                        if m in tables(group):
+                            value, has = tables(group)[m].values(g)
                             logp[m] += value
                             met[m] |= has
                 for m, of in by_model.items():
@@ -340,7 +460,7 @@ def _columns(table: pa.Table, lang: str) -> tuple[np.ndarray, np.ndarray]:
     import pyarrow.compute as pc
 
     rows = table.filter(pc.equal(table.column("lang"), lang))
-    return rows.column("gram").to_numpy(), np.stack([rows.column(c).to_numpy().astype(np.float32) for c in ("logp", "contrast")], axis=1)
+    return rows.column("gram").to_numpy(), np.stack([rows.column(c).to_numpy() for c in ("logp", "contrast")], axis=1)
 
 
 def _modelled(rows: DataFrame) -> DataFrame:
@@ -377,12 +497,15 @@ def thresholds(scored: DataFrame, measure: str) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id, lang, perplexity, threshold, contrast, contrast_threshold, accepted
     of every document row; and ``row``, a column that tells rows apart, if named."""
-    rows = _modelled(materialize(marked(docs, labels, row), "marked"))
+    slices = _marked_slices(docs, labels, row)
+    rows = _modelled(reduce(DataFrame.unionByName, slices))
     by_model = rows.select("doc_id", "text", F.col("model").alias("lang"))
     model = train_marked(rows.select("text", F.col("base").alias("lang"), "fold", "toxic"))
-    scores = gram_scores(by_model, model)
+    logps = _gram_logps(by_model, model)
     discard(*(table for order in model for table in order))
+    scores = _contrasts(logps)
     scored = materialize(judged(rows, scores).withColumn("surprise", F.log("perplexity")), "perplexities")
+    discard(scores, *slices)
     out = scored.where("NOT extra")
     for measure, name in (("surprise", "surprise_bar"), ("contrast", "contrast_threshold")):
         bars = thresholds(scored, measure).withColumnRenamed("threshold", name)

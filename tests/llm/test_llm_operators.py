@@ -389,3 +389,49 @@ def test_pipeline(spark):
     assert set(texts) == {r["doc_id"] for r in rows}
     for r in rows:
         assert own.decode(np.array(r["ids"], "<u4").tobytes()) == texts[r["doc_id"]]
+
+
+def test_tallies_are_summed_whatever_tasks_hold(spark, monkeypatch):
+    texts = [("a", "abcab abcab"), ("a", "abcabЖ\U0001F600"), ("b", "abcab"), ("b", None), ("a", "")] * 3
+    docs = spark.createDataFrame(texts, "lang string, text string").repartition(3)
+    expected = collections.Counter((lang, gram) for lang, text in texts for gram in quality_model.grams(text or "").tolist())
+    learned = docs.withColumn("fold", F.length("text") % 2)
+    folds = collections.Counter()
+    for lang, text in texts:
+        for gram in quality_model.grams(text or "").tolist():
+            folds.update([(lang, gram), *((f"{lang}{quality_model.WITHOUT}{f}", gram) for f in range(quality_model.FOLDS) if f != len(text) % 2)])
+    for chunk, held in ((1 << 21, 1 << 21), (4, 2)):
+        monkeypatch.setattr(quality_model, "_CHUNK", chunk)
+        monkeypatch.setattr(quality_model, "_HELD", held)
+        rows = quality_model._merged(quality_model._tallies(docs), lambda sums: ((lang, *s) for lang, s in sums.items())).collect()
+        assert len(rows) == len(expected)
+        assert {(r["lang"], r["gram"]): r["n"] for r in rows} == expected
+        rows = quality_model._fold_counts(learned.where("text IS NOT NULL")).collect()
+        assert {(r["lang"], r["gram"]): r["n"] for r in rows} == folds
+
+
+def test_scores_pass_the_driver_in_small_shards(spark, monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 7))) for _ in range(3000)]
+    docs = spark.createDataFrame([(i, "en", " ".join(rng.choices(words, k=120))) for i in range(150)], "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 9 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    whole = {r["doc_id"]: r for r in quality_model.classify(docs, labels).collect()}
+    monkeypatch.setattr(quality_model, "SHARD_ROWS", 2_000)
+    sent = []
+    broadcast = spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(sum(len(g) for g, _ in value.values())) or broadcast(value))
+    sharded = {r["doc_id"]: r for r in quality_model.classify(docs, labels).collect()}
+    assert len(sent) > quality_model.SHARDS_HELD and max(sent) < 2 * 2_000
+    assert sharded.keys() == whole.keys()
+    for i, r in whole.items():
+        assert (sharded[i]["perplexity"], sharded[i]["accepted"]) == (pytest.approx(r["perplexity"], rel=1e-6), r["accepted"])
+
+
+def test_texts_meet_their_labels_in_slices(spark, monkeypatch):
+    docs = spark.createDataFrame([(i if i % 7 else None, "en", f"text {i}") for i in range(60)], "doc_id int, lang string, text string")
+    labels = spark.createDataFrame([(i, 1, i % 3) for i in range(40)], "doc_id long, quality int, toxic int")
+    slices = quality_model._marked_slices(docs, labels)
+    sizes = [s.count() for s in slices]
+    assert sum(sizes) == 60 and max(sizes) < 60 * 2 / 3  # before, all texts were shuffled at once
+    got = sorted(map(repr, (r for s in slices for r in s.collect())))
+    assert got == sorted(map(repr, quality_model.marked(docs, labels).collect()))
