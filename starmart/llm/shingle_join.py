@@ -252,29 +252,48 @@ def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, cells=None) ->
     return in_arrow(docs, run, "cell long, doc_id long")
 
 
+def _distinct_cells(met: DataFrame) -> DataFrame:
+    """(cell, pivot): one cell for each group of documents that agree in cells.
+    Near copies agree in most of theirs, and each of those says the same. A
+    group is told by its ends, its size and two sums of its ids' hashes."""
+    own = F.xxhash64("doc_id")
+    groups = met.repartition("cell").groupBy("cell").agg(  # shuffled without the sums
+        F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), F.count("*").alias("n"),
+        F.sum(F.shiftrightunsigned(own, 32)).alias("high"), F.sum(own.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low")).where("pivot < last")
+    return groups.groupBy("pivot", "last", "n", "high", "low").agg(F.min("cell").alias("cell")).select("cell", "pivot")
+
+
 def _regions(docs: DataFrame, classes: DataFrame, k: int, bounds: Bounds, popular) -> DataFrame:
     """(pivot, doc): classes that agree with the pivot in a cell."""
     shared = materialize(
         _signatures(docs, k, bounds, popular).groupBy("cell").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
-        .where("pivot < last").select("cell", "pivot"), "shared-cells")
+        .where("pivot < last").select("cell"), "shared-cells")
     cells = docs.sparkSession.sparkContext.broadcast(_cell_filter(shared))
-    pairs = (_signatures(docs, k, bounds, popular, cells).join(shared, "cell").where("doc_id > pivot")
+    discard(shared)
+    met = materialize(_signatures(docs, k, bounds, popular, cells), "met-cells")
+    pairs = (met.join(_distinct_cells(met), "cell").where("doc_id > pivot")
              .groupBy("pivot", "doc_id").agg(F.lit(1).alias("one")))
     reps = classes.where("doc_id = rep").select(F.col("rep").alias("doc")).distinct()
-    return pairs.join(reps, F.col("doc_id") == F.col("doc"), "left_semi").select("pivot", F.col("doc_id").alias("doc"))
+    out = materialize(pairs.join(reps, F.col("doc_id") == F.col("doc"), "left_semi").select("pivot", F.col("doc_id").alias("doc")), "regions")
+    discard(met)
+    return out
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """The sorted shingle hashes of the wanted documents, one row for each."""
+    """The sorted shingle hashes of the wanted documents, one row for each.
+    Texts aren't shuffled: tasks drop those that a bitmap of the wanted lacks,
+    and what it lets through falls to the join."""
+    passing = docs.sparkSession.sparkContext.broadcast(_cell_filter(wanted.select(F.xxhash64("wanted").alias("cell"))))
 
     def run(batches):
         hashes = WordHashes(lower=True)
         for batch in slices(batches, SLICE_ROWS):
-            made = [shingles(h, k).view(np.int64) for h in hashes.of(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists(made, pa.int64())], names=["doc_id", "shingles"])
+            batch = batch.filter(pa.array(_passes(batch.column("own").to_numpy(), *passing.value)))
+            made = [shingles(h, k).view(np.int64) for h in hashes.of(batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists(made, pa.int64())], names=["doc_id", "shingles"])
 
-    schema = "doc_id long, shingles array<long>"
-    return in_arrow(docs.join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi"), run, schema).dropDuplicates(["doc_id"])
+    met = in_arrow(docs.withColumn("own", F.xxhash64("doc_id")), run, "doc_id long, shingles array<long>")
+    return met.join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi").dropDuplicates(["doc_id"])
 
 
 def _arrays(column: pa.Array) -> list[np.ndarray]:
@@ -394,11 +413,11 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     known, bounds = docs.where("doc_id IS NOT NULL"), Bounds(num, den)
     classes, often = _classes(docs, k)
     popular = docs.sparkSession.sparkContext.broadcast(often)
-    regions = materialize(_regions(known, classes, k, bounds, popular), "regions")
-    wanted = regions.select(F.explode(F.array("pivot", "doc")).alias("wanted")).distinct()
+    regions = _regions(known, classes, k, bounds, popular)
+    wanted = materialize(regions.select(F.explode(F.array("pivot", "doc")).alias("wanted")).distinct(), "wanted")
     sets = materialize(_sets(known, wanted, k), "region-sets")
     compared = materialize(_compare(regions, sets, bounds, popular), "compared")
-    discard(regions)
+    discard(regions, wanted)
     # rows of one id with different texts count as linked
     twice = classes.where("doc_id != rep").join(
         classes.where("doc_id = rep").select(F.col("doc_id").alias("own")), F.col("doc_id") == F.col("own"), "left_semi")

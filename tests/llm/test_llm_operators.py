@@ -435,3 +435,20 @@ def test_texts_meet_their_labels_in_slices(spark, monkeypatch):
     assert sum(sizes) == 60 and max(sizes) < 60 * 2 / 3  # before, all texts were shuffled at once
     got = sorted(map(repr, (r for s in slices for r in s.collect())))
     assert got == sorted(map(repr, quality_model.marked(docs, labels).collect()))
+
+
+def test_cells_that_say_the_same_are_joined_once(spark):
+    rows = [(cell, doc) for cell in range(20) for doc in (1, 2, 3)] + [(100, 1), (100, 3), (101, 2), (101, 3), (102, 5)]
+    rows += [(200, d) for d in (1, 1, 2, 2, 4)] + [(201, d) for d in (1, 1, 3, 3, 4)]
+    got = shingle_join._distinct_cells(spark.createDataFrame(rows, "cell long, doc_id long")).collect()
+    # before, each of the 24 cells that several documents share was joined
+    assert sorted((r["cell"], r["pivot"]) for r in got) == [(0, 1), (100, 1), (101, 2), (200, 1), (201, 1)]
+
+
+def test_sets_of_wanted_documents_need_no_shuffled_texts(spark):
+    docs = spark.createDataFrame([(i, f"a{i} b c d e{i}") for i in range(500)] + [(7, "other words of the same id")], "doc_id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in range(0, 500, 50)] + [(7,)], "wanted long")
+    found = shingle_join._sets(docs, wanted, 4)
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted([*range(0, 500, 50), 7])
+    assert not re.search(r"Exchange[^\n]*\n[^\n]*text", found._jdf.queryExecution().executedPlan().toString())
+    assert "MapInArrow" in found._jdf.queryExecution().optimizedPlan().toString().split("LeftSemi")[1]  # the join is above it
