@@ -24,7 +24,8 @@ is a ratio of). The join works in regions around pivots:
   documents of different components that share an indexed difference, and can
   share as many as a link needs, are compared.
 
-Exact copies fall into one class first; only one document of a class takes part.
+Exact copies fall into one class first; only one document of a class takes part,
+in the search for regions too, where copies would fill cells again and again.
 
 Defined results: a null or empty text and a text without words has no shingles
 and links with nothing; a text of fewer than ``k`` words has one shingle, the
@@ -234,14 +235,16 @@ def _passes(cells: np.ndarray, bits: int, table: np.ndarray) -> np.ndarray:
     return (table[(cells & ((1 << bits) - 1)) >> 6] >> (cells & 63)) & 1 == 1
 
 
-def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, cells=None) -> DataFrame:
-    """(cell, doc_id) of all documents, or of the cells that may be shared."""
+def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, reps, cells=None) -> DataFrame:
+    """(cell, doc_id) of the documents that may stand for their class (a bitmap
+    tells, which lets few others through), or of their cells that may be shared."""
 
     def run(batches):
         hashes = WordHashes(lower=True)
         for batch in slices(batches, SLICE_ROWS):
-            made = [bounds.signatures(shingles(h, k), popular.value) for h in hashes.of(batch.column(1).to_pylist())]
-            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(m) for m in made])
+            batch = batch.filter(pa.array(_passes(batch.column("own").to_numpy(), *reps.value)))
+            made = [bounds.signatures(shingles(h, k), popular.value) for h in hashes.of(batch.column("text").to_pylist())]
+            ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(m) for m in made])
             flat = np.concatenate(made) if made else np.empty(0, np.int64)
             if cells is not None:
                 keep = _passes(flat, *cells.value)
@@ -249,7 +252,7 @@ def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, cells=None) ->
             for at in range(0, len(flat), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(flat[at:at + 100_000]), pa.array(ids[at:at + 100_000])], names=["cell", "doc_id"])
 
-    return in_arrow(docs, run, "cell long, doc_id long")
+    return in_arrow(docs.withColumn("own", F.xxhash64("doc_id")), run, "cell long, doc_id long")
 
 
 def _distinct_cells(met: DataFrame) -> DataFrame:
@@ -264,18 +267,20 @@ def _distinct_cells(met: DataFrame) -> DataFrame:
 
 
 def _regions(docs: DataFrame, classes: DataFrame, k: int, bounds: Bounds, popular) -> DataFrame:
-    """(pivot, doc): classes that agree with the pivot in a cell."""
+    """(pivot, doc): classes that agree with the pivot in a cell. Copies fill the
+    cells of the least of their class, so one that passes is never a pivot."""
+    reps = materialize(classes.where("doc_id = rep AND n_shingles > 0").select(F.col("rep").alias("doc")).distinct(), "reps")
+    passing = docs.sparkSession.sparkContext.broadcast(_cell_filter(reps.select(F.xxhash64("doc").alias("cell"))))
     shared = materialize(
-        _signatures(docs, k, bounds, popular).groupBy("cell").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
+        _signatures(docs, k, bounds, popular, passing).groupBy("cell").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
         .where("pivot < last").select("cell"), "shared-cells")
     cells = docs.sparkSession.sparkContext.broadcast(_cell_filter(shared))
     discard(shared)
-    met = materialize(_signatures(docs, k, bounds, popular, cells), "met-cells")
+    met = materialize(_signatures(docs, k, bounds, popular, passing, cells), "met-cells")
     pairs = (met.join(_distinct_cells(met), "cell").where("doc_id > pivot")
              .groupBy("pivot", "doc_id").agg(F.lit(1).alias("one")))
-    reps = classes.where("doc_id = rep").select(F.col("rep").alias("doc")).distinct()
     out = materialize(pairs.join(reps, F.col("doc_id") == F.col("doc"), "left_semi").select("pivot", F.col("doc_id").alias("doc")), "regions")
-    discard(met)
+    discard(met, reps)
     return out
 
 

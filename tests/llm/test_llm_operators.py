@@ -452,3 +452,26 @@ def test_sets_of_wanted_documents_need_no_shuffled_texts(spark):
     assert sorted(r["doc_id"] for r in found.collect()) == sorted([*range(0, 500, 50), 7])
     assert not re.search(r"Exchange[^\n]*\n[^\n]*text", found._jdf.queryExecution().executedPlan().toString())
     assert "MapInArrow" in found._jdf.queryExecution().optimizedPlan().toString().split("LeftSemi")[1]  # the join is above it
+
+
+def _joined_parts(spark, monkeypatch, rows, k=4, num=85, den=100):
+    """The components of rows, and what the steps of the join were given."""
+    seen = {}
+    for name in ("_distinct_cells", "_candidates"):
+        def kept(df, *more, step=getattr(shingle_join, name), name=name):
+            seen[name] = df.collect()
+            return step(df, *more)
+        monkeypatch.setattr(shingle_join, name, kept)
+    got = shingle_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), k, num, den).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, k, num, den)
+    return seen["_distinct_cells"], seen["_candidates"]
+
+
+def test_copies_fill_no_cells(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(80)]
+    rows = [(i, " ".join(base)) for i in range(200)] + [(200 + i, " ".join([*base[:40], f"n{i}", *base[41:]])) for i in range(3)]
+    rows += [(203, " ".join(base[:40])), (204, "a b c d"), (205, "")]
+    met, _ = _joined_parts(spark, monkeypatch, rows)
+    # before, each cell held all 200 copies; now the least, and the few copies that a bitmap lets through
+    assert {0, 200, 201, 202} <= {r["doc_id"] for r in met} and len({r["doc_id"] for r in met}) < 50
