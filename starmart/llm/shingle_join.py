@@ -15,14 +15,15 @@ is a ratio of). The join works in regions around pivots:
   pivot only. If the differences of two members to the pivot sum up to no more
   than the bound, both are linked with the pivot, so the pair needs no look.
   Others can link only if their distances to the pivot are within the bound of
-  each other: a region falls into rings of distance, and a document goes to
-  its own ring and, as a boundary document, to the lower ones within reach.
+  each other, and if a cell holds both besides its pivot: what meets the pivot
+  in cells of two documents only has no other partner there.
 * **Recursion.** Such a pair shares part of its differences to the pivot.
-  Documents are replaced by those differences, rarest first, and a prefix as
-  long as the ring leaves room for is indexed. What a region has in common
-  vanishes here, and what links with the pivot is connected already, so only
-  documents of different components that share an indexed difference, and can
-  share as many as a link needs, are compared.
+  Documents are replaced by those differences, rarest first, and a prefix is
+  indexed, as long as partners within the bound leave room for: one for nearer
+  partners, a shorter one for those as far or farther. What a region has in
+  common vanishes here, and what links with the pivot is connected already, so
+  only documents of different components that share an indexed difference, and
+  can share as many as a link needs, are compared.
 
 Exact copies fall into one class first; only one document of a class takes part,
 in the search for regions too, where copies would fill cells again and again.
@@ -44,10 +45,11 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import WordHashes, discard, in_arrow, lists, materialize, mix, slices
 from starmart.llm.components import components
+from starmart.session import arrow_batches
 
 #: Upper end of a size class over its lower end.
 CLASS_RATIO = 1.5
-#: Rows of a batch that a task takes at once: each brings sets and prefixes.
+#: Rows that a Python task gets and takes at once: each brings sets and prefixes.
 SLICE_ROWS = 512
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -114,24 +116,19 @@ class Bounds:
         k = self.most(self.start(z + 1) - 1)
         return k + 1 + k // 10 + 2
 
-    def rings(self, d: int, n: int, pivot: int, linked: bool) -> list[tuple[int, int]]:
-        """Rings around the pivot in which a set of ``n`` elements at distance
-        ``d`` may meet partners, its own last, and how many of its ordered
-        differences it has to show there.
+    def prefixes(self, d: int, n: int, pivot: int, linked: bool) -> tuple[int, int]:
+        """How many of its ordered differences to the pivot a set of ``n``
+        elements at distance ``d`` has to show: to all its partners, and to
+        those that are as far from the pivot or farther.
 
-        A pair meets in the ring of its nearer member, at ``least`` from the
-        pivot or farther, so it shares at least (d + least - k) / 2 of the
-        differences. A linked set only needs partners that aren't, and those
-        are more than (1 - similarity) * pivot away.
+        A pair shares at least (d + e - k) / 2 of its differences, ``e`` being
+        the partner's distance, d - k or more. A linked set only needs partners
+        that aren't, and those are more than (1 - similarity) * pivot away.
         """
-        k, width = self.most(n), max(1, self.most(pivot) // 4)
-        own, out = d // width, []
-        for ring in range(max(0, d - k) // width, own + 1):
-            least = max(ring * width, d - k, pivot * (self.den - self.num) // self.den + 1 if linked else 0)
-            share = max(1, (d + least - k + 1) // 2)
-            if ring == own or least < (ring + 1) * width:
-                out.append((ring, max(0, d - share + 1)))
-        return out
+        k, away = self.most(n), pivot * (self.den - self.num) // self.den + 1 if linked else 0
+        shares = (max(1, (d + max(least, away) - k + 1) // 2) for least in (d - k, d))
+        shown, own = (max(0, d - share + 1) for share in shares)
+        return shown, own
 
     def signatures(self, h: np.ndarray, popular: Popular) -> np.ndarray:
         """A hash of the content of every cell that isn't empty.
@@ -256,19 +253,20 @@ def _signatures(docs: DataFrame, k: int, bounds: Bounds, popular, reps, cells=No
 
 
 def _distinct_cells(met: DataFrame) -> DataFrame:
-    """(cell, pivot): one cell for each group of documents that agree in cells.
-    Near copies agree in most of theirs, and each of those says the same. A
-    group is told by its ends, its size and two sums of its ids' hashes."""
+    """(cell, pivot, n): one cell for each group of n documents that agree in
+    cells. Near copies agree in most of theirs, and each of those says the same.
+    A group is told by its ends, its size and two sums of its ids' hashes."""
     own = F.xxhash64("doc_id")
     groups = met.repartition("cell").groupBy("cell").agg(  # shuffled without the sums
         F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), F.count("*").alias("n"),
         F.sum(F.shiftrightunsigned(own, 32)).alias("high"), F.sum(own.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low")).where("pivot < last")
-    return groups.groupBy("pivot", "last", "n", "high", "low").agg(F.min("cell").alias("cell")).select("cell", "pivot")
+    return groups.groupBy("pivot", "last", "n", "high", "low").agg(F.min("cell").alias("cell")).select("cell", "pivot", "n")
 
 
 def _regions(docs: DataFrame, classes: DataFrame, k: int, bounds: Bounds, popular) -> DataFrame:
-    """(pivot, doc): classes that agree with the pivot in a cell. Copies fill the
-    cells of the least of their class, so one that passes is never a pivot."""
+    """(pivot, doc, several): classes that agree with the pivot in a cell, and
+    whether others do in one of those cells. Copies fill the cells of the least
+    of their class, so one that passes the bitmap is never a pivot."""
     reps = materialize(classes.where("doc_id = rep AND n_shingles > 0").select(F.col("rep").alias("doc")).distinct(), "reps")
     passing = docs.sparkSession.sparkContext.broadcast(_cell_filter(reps.select(F.xxhash64("doc").alias("cell"))))
     shared = materialize(
@@ -278,8 +276,8 @@ def _regions(docs: DataFrame, classes: DataFrame, k: int, bounds: Bounds, popula
     discard(shared)
     met = materialize(_signatures(docs, k, bounds, popular, passing, cells), "met-cells")
     pairs = (met.join(_distinct_cells(met), "cell").where("doc_id > pivot")
-             .groupBy("pivot", "doc_id").agg(F.lit(1).alias("one")))
-    out = materialize(pairs.join(reps, F.col("doc_id") == F.col("doc"), "left_semi").select("pivot", F.col("doc_id").alias("doc")), "regions")
+             .groupBy("pivot", "doc_id").agg((F.max("n") > 2).alias("several")))
+    out = materialize(pairs.join(reps, F.col("doc_id") == F.col("doc"), "left_semi").select("pivot", F.col("doc_id").alias("doc"), "several"), "regions")
     discard(met, reps)
     return out
 
@@ -307,17 +305,18 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame, one: str, two: str) -> DataFrame:
+def _with_sets(pairs: DataFrame, sets: DataFrame, one: str, two: str, *more: str) -> DataFrame:
     def named(name: str) -> DataFrame:
         return sets.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"{name}_set"))
 
-    return pairs.join(named(two), two).join(named(one), one).select(one, two, f"{one}_set", f"{two}_set")
+    return pairs.join(named(two), two).join(named(one), one).select(one, two, f"{one}_set", f"{two}_set", *more)
 
 
 def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> DataFrame:
     """Each document against its pivot: linked or not, its size and distance,
-    and the prefixes of its differences that it shows in each ring, with their
-    places. A token stands for pivot, ring and difference.
+    and the prefix of its differences that it shows if others may be partners
+    there, with their places; ``own`` are those for partners as far or farther.
+    A token stands for pivot and difference.
 
     Any order that all members of a region share keeps the prefix exact; this
     one puts first what few of them can share: what a document adds to the
@@ -329,25 +328,26 @@ def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> Da
         for batch in slices(batches, SLICE_ROWS):
             facts, token, place, own = [], [], [], []
             pivots = mix(batch.column("pivot").to_numpy(zero_copy_only=False).view(np.uint64) + _ODD[2])
-            for at, p, x in zip(pivots, *(_arrays(batch.column(f"{c}_set")) for c in ("pivot", "doc")), strict=True):
+            sets = (_arrays(batch.column(f"{c}_set")) for c in ("pivot", "doc"))
+            for at, p, x, several in zip(pivots, *sets, batch.column("several").to_pylist(), strict=True):
                 more, less = (np.setdiff1d(a, b, assume_unique=True) for a, b in ((x, p), (p, x)))
-                is_linked = bool(bounds.linked(len(x) - len(more), len(x) + len(p)))
+                is_linked, away = bool(bounds.linked(len(x) - len(more), len(x) + len(p))), len(more) + len(less)
+                shown, nearer = bounds.prefixes(away, len(x), len(p), is_linked) if several else (0, 0)
                 top = int(known.counts(p).max())
                 order = np.concatenate((known.counts(more), top - known.counts(less)))
                 tokens = np.concatenate((mix(more), mix(less ^ _ODD[1])))
-                tokens = tokens[np.lexsort((tokens, order))]
-                rings = bounds.rings(len(tokens), len(x), len(p), is_linked)
-                token.append(np.concatenate([mix((tokens[:size] ^ at) + np.uint64((ring + 1) * int(_ODD[3]) % (1 << 64))) for ring, size in rings]).view(np.int64))
-                place.append(np.concatenate([np.arange(min(size, len(tokens)), dtype=np.int32) for _, size in rings]))
-                own.append(np.arange(len(place[-1])) >= len(place[-1]) - min(rings[-1][1], len(tokens)))
-                facts.append((is_linked, len(x), len(tokens)))
+                tokens = tokens[np.lexsort((tokens, order))][:shown]
+                token.append(mix(tokens ^ at).view(np.int64))
+                place.append(np.arange(len(tokens), dtype=np.int32))
+                own.append(place[-1] < nearer)
+                facts.append((is_linked, len(x), away))
             linked, n, d = (list(c) for c in zip(*facts, strict=True)) if facts else ([], [], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("pivot"), batch.column("doc"), pa.array(linked, pa.bool_()), pa.array(n, pa.int32()), pa.array(d, pa.int32()),
                  lists(token, pa.int64()), lists(place, pa.int32()), lists(own, pa.bool_())],
                 names=["pivot", "doc", "linked", "n", "d", "token", "place", "own"])
 
-    return in_arrow(_with_sets(regions, sets, "pivot", "doc"), run,
+    return in_arrow(_with_sets(regions, sets, "pivot", "doc", "several"), run,
                     "pivot long, doc long, linked boolean, n int, d int, token array<long>, place array<int>, own array<boolean>")
 
 
@@ -379,16 +379,17 @@ def _shown(labelled: DataFrame, met) -> DataFrame:
 
 
 def _candidates(compared: DataFrame, labels: DataFrame, bounds: Bounds) -> DataFrame:
-    """(one, two): documents of a ring that aren't connected yet and whose
-    shared difference leaves room for as many as a link needs."""
+    """(one, two): documents of a region that aren't connected yet and whose
+    shared difference leaves room for as many as a link needs. The nearer one
+    shows it among its own."""
     labelled = compared.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
         "doc", "n", "d", F.coalesce("component", "doc").alias("label"), "token", "place", "own")
     met = materialize(_met(labelled), "met-tokens")
     passing = compared.sparkSession.sparkContext.broadcast(_cell_filter(met))
-    rows = materialize(_shown(labelled, passing).join(met, "cell", "left_semi"), "ring-tokens")
+    rows = materialize(_shown(labelled, passing).join(met, "cell", "left_semi"), "shown-tokens")
     one, two = rows.where("own").alias("x"), rows.alias("y")
     most = f"(((x.n + y.n) * {bounds.den - bounds.num}) div {bounds.den + bounds.num})"
-    fits = (f"x.label != y.label AND (NOT y.own OR x.doc < y.doc) AND abs(x.d - y.d) <= {most}"
+    fits = (f"x.label != y.label AND (x.d < y.d OR x.d = y.d AND y.own AND x.doc < y.doc) AND y.d - x.d <= {most}"
             f" AND {bounds.num} * greatest(x.n, y.n) <= {bounds.den} * least(x.n, y.n)"
             f" AND 2 * least(x.d - x.place, y.d - y.place) >= x.d + y.d - {most}")
     pairs = (one.join(two, (F.col("x.cell") == F.col("y.cell")) & F.expr(fits))
@@ -414,6 +415,11 @@ def _verify(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
 def similar_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id of every row: documents link
     whose k-word shingle sets have a Jaccard similarity of num/den or more."""
+    with arrow_batches(docs.sparkSession, SLICE_ROWS):
+        return _similar_components(docs, k, num, den)
+
+
+def _similar_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     known, bounds = docs.where("doc_id IS NOT NULL"), Bounds(num, den)
     classes, often = _classes(docs, k)

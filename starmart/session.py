@@ -88,14 +88,24 @@ _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def freed_shuffles(spark: SparkSession):
-    """Queries that run in here leave no shuffle files behind."""
-    before = spark.conf.get(_FREE_SHUFFLES, None)
-    spark.conf.set(_FREE_SHUFFLES, "true")
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(_FREE_SHUFFLES) if before is None else spark.conf.set(_FREE_SHUFFLES, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def freed_shuffles(spark: SparkSession):
+    """Queries that run in here leave no shuffle files behind."""
+    return _setting(spark, _FREE_SHUFFLES, "true")
+
+
+def arrow_batches(spark: SparkSession, rows: int):
+    """Python tasks of queries that run in here get so many rows at a time, at
+    most: of rows with long arrays, Spark's default fills 64 MB a batch."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def discard_path(spark: SparkSession, path: str) -> None:

@@ -475,3 +475,35 @@ def test_copies_fill_no_cells(spark, monkeypatch):
     met, _ = _joined_parts(spark, monkeypatch, rows)
     # before, each cell held all 200 copies; now the least, and the few copies that a bitmap lets through
     assert {0, 200, 201, 202} <= {r["doc_id"] for r in met} and len({r["doc_id"] for r in met}) < 50
+
+
+def test_documents_show_one_prefix_and_only_where_others_meet(spark, monkeypatch):
+    rng = random.Random(9)
+
+    def words(n):
+        return [f"w{rng.randrange(100_000)}" for _ in range(n)]
+
+    rows = []
+    for i in range(0, 40, 2):  # pairs that share a half: no third one meets them
+        half = words(60)
+        rows += [(i, " ".join(half + words(60))), (i + 1, " ".join(half + words(60)))]
+    line, far = words(110), words(20)
+    rows += [(100, " ".join(line + words(20)))] + [(101 + i, " ".join([*line, *far[:4 + i], f"n{i}", *far[5 + i:]])) for i in range(12)]
+    _, compared = _joined_parts(spark, monkeypatch, rows)
+    pairs = [r for r in compared if r["doc"] < 100]
+    assert pairs and not any(r["token"] for r in pairs)  # before, all of them showed differences
+    others = [r for r in compared if r["pivot"] == 100 and not r["linked"]]
+    most = shingle_join.Bounds(85, 100).most
+    # before, a document showed a prefix in each of up to five rings
+    assert others and all(0 < len(r["token"]) <= most(r["n"]) + 1 for r in others)
+    assert all(sum(r["own"]) <= most(r["n"]) // 2 + 1 for r in others)
+
+
+def test_no_partner_is_out_of_reach_of_the_prefixes():
+    bounds = shingle_join.Bounds(80, 100)
+    for n in (20, 33, 100):
+        for d in range(2 * n):
+            for e in range(max(0, d - bounds.most(n)), d + 1):  # the nearer partner's distance
+                share = max(1, -((bounds.most(n) - d - e) // 2))
+                assert d - share + 1 <= bounds.prefixes(d, n, n, False)[0]
+                assert e - share + 1 <= bounds.prefixes(e, n, n, False)[1]
