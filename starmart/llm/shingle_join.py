@@ -23,7 +23,8 @@ is a ratio of). The join works in regions around pivots:
   partners, a shorter one for those as far or farther. What a region has in
   common vanishes here, and what links with the pivot is connected already, so
   only documents of different components that share an indexed difference, and
-  can share as many as a link needs, are compared.
+  can share as many as a link needs, are compared: first by odd sketches, which
+  differ in no more bits than the sets in elements, the rest by their sets.
 
 Exact copies fall into one class first; only one document of a class takes part,
 in the search for regions too, where copies would fill cells again and again.
@@ -305,11 +306,47 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame, one: str, two: str, *more: str) -> DataFrame:
+def _with_both(pairs: DataFrame, facts: DataFrame, one: str, two: str, *more: str) -> DataFrame:
+    """The pairs with the columns of ``facts`` of both documents, and ``more``."""
+    columns = [c for c in facts.columns if c != "doc_id"]
+
     def named(name: str) -> DataFrame:
-        return sets.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"{name}_set"))
+        return facts.select(F.col("doc_id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+    return pairs.join(named(two), two).join(named(one), one).select(one, two, *[f"{x}_{c}" for c in columns for x in (one, two)], *more)
+
+
+#: Bits of an odd sketch.
+ODD_BITS = 1024
+
+
+def _odd_sketches(sets: DataFrame) -> DataFrame:
+    """n, the size of each set, and for each value of the hashes' last bits
+    whether an odd number of them has it."""
+
+    def run(batches):
+        for batch in slices(batches, SLICE_ROWS):
+            made = _arrays(batch.column("shingles"))
+            odd = [np.packbits(np.bincount((h & np.uint64(ODD_BITS - 1)).astype(np.int64), minlength=ODD_BITS) & 1).tobytes() for h in made]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(h) for h in made], pa.int32()), pa.array(odd, pa.binary())], names=["doc_id", "n", "odd"])
+
+    return in_arrow(sets, run, "doc_id long, n int, odd binary")
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, bounds: Bounds) -> DataFrame:
+    """The pairs whose sketches don't rule out a link. An element that one set
+    lacks changes one bit, so sets differ in as many elements as bits, or more."""
+
+    def run(batches):
+        for batch in batches:
+            bits, n = ([batch.column(f"{x}_{c}") for x in ("one", "two")] for c in ("odd", "n"))
+            one, two = (np.frombuffer(b"".join(b.to_pylist()), np.uint64).reshape(-1, ODD_BITS // 64) for b in bits)
+            total = sum(c.to_numpy().astype(np.int64) for c in n)
+            least = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+            yield batch.select(["one", "two"]).filter(pa.array(bounds.linked((total - least) / 2, total)))
 
-    return pairs.join(named(two), two).join(named(one), one).select(one, two, f"{one}_set", f"{two}_set", *more)
+    return in_arrow(_with_both(pairs, sketches, "one", "two"), run, "one long, two long")
 
 
 def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> DataFrame:
@@ -328,7 +365,7 @@ def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> Da
         for batch in slices(batches, SLICE_ROWS):
             facts, token, place, own = [], [], [], []
             pivots = mix(batch.column("pivot").to_numpy(zero_copy_only=False).view(np.uint64) + _ODD[2])
-            sets = (_arrays(batch.column(f"{c}_set")) for c in ("pivot", "doc"))
+            sets = (_arrays(batch.column(f"{c}_shingles")) for c in ("pivot", "doc"))
             for at, p, x, several in zip(pivots, *sets, batch.column("several").to_pylist(), strict=True):
                 more, less = (np.setdiff1d(a, b, assume_unique=True) for a, b in ((x, p), (p, x)))
                 is_linked, away = bool(bounds.linked(len(x) - len(more), len(x) + len(p))), len(more) + len(less)
@@ -347,7 +384,7 @@ def _compare(regions: DataFrame, sets: DataFrame, bounds: Bounds, popular) -> Da
                  lists(token, pa.int64()), lists(place, pa.int32()), lists(own, pa.bool_())],
                 names=["pivot", "doc", "linked", "n", "d", "token", "place", "own"])
 
-    return in_arrow(_with_sets(regions, sets, "pivot", "doc", "several"), run,
+    return in_arrow(_with_both(regions, sets, "pivot", "doc", "several"), run,
                     "pivot long, doc long, linked boolean, n int, d int, token array<long>, place array<int>, own array<boolean>")
 
 
@@ -405,11 +442,11 @@ def _verify(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     def run(batches):
         for batch in slices(batches, SLICE_ROWS):
             keep = [bool(bounds.linked(len(np.intersect1d(a, b, assume_unique=True)), len(a) + len(b)))
-                    for a, b in zip(*(_arrays(batch.column(f"{c}_set")) for c in ("one", "two")), strict=True)]
+                    for a, b in zip(*(_arrays(batch.column(f"{c}_shingles")) for c in ("one", "two")), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("two").filter(pa.array(keep, pa.bool_())), batch.column("one").filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
 
-    return in_arrow(_with_sets(pairs, sets, "one", "two"), run, "a long, b long")
+    return in_arrow(_with_both(pairs, sets, "one", "two"), run, "a long, b long")
 
 
 def similar_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -436,8 +473,11 @@ def _similar_components(docs: DataFrame, k: int, num: int, den: int) -> DataFram
                         .unionByName(twice.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "pivot-links")
     pairs = _candidates(compared, components(links), bounds)
     discard(compared)
-    found = materialize(_verify(pairs, sets, bounds), "pair-links")
-    discard(pairs, sets)
+    sketches = materialize(_odd_sketches(sets), "odd-sketches")
+    near = materialize(_near(pairs, sketches, bounds), "near-pairs")
+    discard(pairs, sketches)
+    found = materialize(_verify(near, sets, bounds), "pair-links")
+    discard(near, sets)
     of = components(links.unionByName(found))
     return (classes.join(of, F.col("rep") == F.col("node"), "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.col("rep").alias("class_id")))

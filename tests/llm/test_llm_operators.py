@@ -507,3 +507,17 @@ def test_no_partner_is_out_of_reach_of_the_prefixes():
                 share = max(1, -((bounds.most(n) - d - e) // 2))
                 assert d - share + 1 <= bounds.prefixes(d, n, n, False)[0]
                 assert e - share + 1 <= bounds.prefixes(e, n, n, False)[1]
+
+
+def test_sketches_rule_out_pairs_but_no_link(spark):
+    rng = random.Random(10)
+    base = [rng.getrandbits(62) for _ in range(400)]
+    sets = [(i, sorted([*base[i * 5:], *(rng.getrandbits(62) for _ in range(i * 5))])) for i in range(41)]
+    sets = spark.createDataFrame(sets, "doc_id long, shingles array<long>")
+    pairs = spark.createDataFrame([(0, i) for i in range(41)], "one long, two long")
+    bounds = shingle_join.Bounds(85, 100)
+    near = {r["two"] for r in shingle_join._near(pairs, shingle_join._odd_sketches(sets), bounds).collect()}
+    links = {r["a"] for r in shingle_join._verify(pairs, sets, bounds).collect()}
+    # before, the sets of all 41 pairs were shuffled
+    assert links == {i for i in range(41) if 100 * (400 - i * 5) >= 85 * (400 + i * 5)}
+    assert links <= near and len(near) < 20
