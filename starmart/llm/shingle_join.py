@@ -137,11 +137,13 @@ class Bounds:
         Popular shingles are left out, of all sets alike, which leaves no more
         differences than before. Only where a set then fills too few cells to
         be sure of an agreeing one that isn't empty does it also deal all its
-        shingles, empty cells included, and so meets the others of this kind.
+        shingles, empty cells included, and so meets the others of this kind,
+        unrelated ones too. A link's smaller set is no larger than this one, so
+        more filled cells than this one's own size lets it differ in are enough.
         """
         out = []
         for z, m in self.zones(len(h)):
-            most = self.most(self.start(z + 1) - 1)
+            most = self.most(min(len(h), self.start(z + 1) - 1))
             rare = h[popular.counts(h) == 1]
             for part, kind in ((rare, 0), (h, 1)):
                 cell = ((part >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
