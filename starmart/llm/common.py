@@ -26,8 +26,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
+#: Of a table with rows of megabytes: readers decode up to a row group at once,
+#: and writers, left alone, look at a group's size after 100 rows only.
+LARGE_ROWS = {"parquet.block.row.count.limit": "8"}
+
+
+def materialize(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` below ``spark.checkpoint.dir``, with the options of Parquet, and read it back.
 
     Cuts the lineage at a place that every executor shares: a lost executor
     loses no rows, and later stages start from the files. The shuffle files of
@@ -36,7 +41,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with freed_shuffles(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **(options or {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

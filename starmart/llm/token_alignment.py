@@ -35,11 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import in_arrow, lists, materialize
+from starmart.llm.common import LARGE_ROWS, in_arrow, lists, materialize
+from starmart.session import arrow_batches
 
 #: Bytes of text in a pack, and products a block of rows.
-PACK_BYTES = 1 << 20
+PACK_BYTES = 1 << 19
 BLOCK = 1 << 18
+#: Documents that a Python task gets at a time, about a pack or two.
+BATCH_ROWS = 512
 #: Words of the byte-level pre-tokenizer, as its library states them.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -300,32 +303,29 @@ def alignment_digests(docs: DataFrame, byte_path: str, piece_path: str) -> DataF
     id), count_sum (documents that hold the id pair, over links), groups_sha256,
     n_shared (pairs of tokens that share a group)."""
     pieces = len(tokenizers_of(byte_path, piece_path).b.bytes)
-    packed = materialize(_packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), byte_path, piece_path), "alignment-packs")
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        packed = materialize(_packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), byte_path, piece_path), "alignment-packs", LARGE_ROWS)
     pairs = packed.select("chunk", F.posexplode(F.arrays_zip("pair", "docs"))).select("chunk", "pos", "col.pair", "col.docs")
     counts = materialize(pairs.groupBy("pair").agg(F.sum("docs").alias("n")), "alignment-counts")
     a_id = F.expr(f"pair div {pieces}")
     counts = counts.withColumn("a_id", a_id)
     most = counts.groupBy("a_id").agg(F.max("n").alias("most"))
     rated = materialize(counts.join(most, "a_id").select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "alignment-rates")
-    looked = (pairs.select("chunk", "pos", "pair").join(rated, "pair").groupBy("chunk")
-              .agg(F.collect_list(F.struct("pos", "n", "best")).alias("found")))
-    rows = packed.drop("pair", "docs").join(looked, "chunk", "left")
+    looked = pairs.select("chunk", "pos", "pair").join(rated, "pair").select(F.col("chunk").alias("of"), "pos", "n", "best")
     whole = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
 
-    def run(batches):
-        for batch in batches:
-            for i in range(len(batch)):
-                row = {n: batch.column(n).slice(i, 1).flatten() for n in batch.schema.names if n != "chunk"}
-                held, link, times = (row[n].to_numpy(zero_copy_only=False) for n in ("held", "link", "times"))
-                n, best = np.zeros((2, len(row["found"])), np.int64)
-                if len(row["found"]):
-                    pos, count, top = (x.to_numpy(zero_copy_only=False) for x in row["found"].flatten())
-                    n[pos], best[pos] = count, top
-                ends = np.concatenate(([0], np.cumsum(held)))
-                sums = [np.concatenate(([0], np.cumsum(times * x[link]))) for x in (best, n)]
-                best_sum, count_sum = (pa.array(s[ends[1:]] - s[ends[:-1]], pa.int64()) for s in sums)
-                yield pa.RecordBatch.from_arrays(
-                    [row["doc_id"], *(row[c] for c in whole[:4]), best_sum, count_sum, row["groups_sha256"], row["n_shared"]],
-                    names=["doc_id", *whole[:4], "n_best", "count_sum", "groups_sha256", "n_shared"])
-
-    return in_arrow(rows, run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, n_shared long")
+    def run(pack, found):
+        row = {n: pack.column(n).combine_chunks().flatten() for n in pack.column_names if n != "chunk"}
+        held, link, times = (row[n].to_numpy(zero_copy_only=False) for n in ("held", "link", "times"))
+        pos, count, top = (found.column(n).to_numpy() for n in ("pos", "n", "best"))
+        n, best = np.zeros((2, len(pos)), np.int64)
+        n[pos], best[pos] = count, top
+        ends = np.concatenate(([0], np.cumsum(held)))
+        sums = [np.concatenate(([0], np.cumsum(times * x[link]))) for x in (best, n)]
+        best_sum, count_sum = (pa.array(s[ends[1:]] - s[ends[:-1]], pa.int64()) for s in sums)
+        return pa.table([row["doc_id"], *(row[c] for c in whole[:4]), best_sum, count_sum, row["groups_sha256"], row["n_shared"]],
+                        names=["doc_id", *whole[:4], "n_best", "count_sum", "groups_sha256", "n_shared"])
+
+    # a pack meets its pairs as sorted runs: its row and theirs are in memory, no other's
+    return packed.drop("pair", "docs").groupBy("chunk").cogroup(looked.groupBy("of")).applyInArrow(
+        run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, n_shared long")
